@@ -21,6 +21,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def parallel(df: DataFrame) -> DataFrame:
+    """Use all cores on a file that is a single split; leave larger scans alone."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def _line_id() -> Column:
     """Together with the order key this names a driver line item uniquely."""
     parts = ("l_linenumber", "l_partkey", "l_suppkey", "l_quantity")
@@ -50,7 +56,7 @@ def raw_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("p_partkey").alias("PART"), F.when(F.col("p_size") != 1, F.col("p_name")).alias("ITEM_NAME")
     )
     quantity = F.col("l_quantity")
-    lines = table(spark, sf_dir, "lineitem").select(
+    lines = parallel(table(spark, sf_dir, "lineitem")).select(
         F.col("l_orderkey").alias("ORDER_ID"),
         _line_id().alias("LINEITEM_ID"),
         F.col("l_partkey").alias("PART"),

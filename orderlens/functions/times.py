@@ -11,7 +11,15 @@ DATE_FORMAT = "dd-MM-yyyy"
 
 
 def parsed_time(text: str, formats=TIME_FORMATS) -> Column:
-    return F.coalesce(*[F.try_to_timestamp(F.col(text), F.lit(f)) for f in formats])
+    """The first format that fits.
+
+    A failed parse costs far more than a successful one, so a format is tried
+    only on text that agrees with it about having a decimal point.
+    """
+    pointed = F.contains(F.col(text), F.lit("."))
+    return F.coalesce(
+        *[F.when(pointed == F.lit("." in f), F.try_to_timestamp(F.col(text), F.lit(f))) for f in formats]
+    )
 
 
 def parsed_date(text: str, fmt: str = DATE_FORMAT) -> Column:

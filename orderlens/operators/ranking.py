@@ -151,7 +151,7 @@ def exact_percentiles(
     distinct, rows = histogram.agg(F.count(F.lit(1)), F.coalesce(F.sum("weight"), F.lit(0))).first()
     if distinct <= max_values:
         points = F.array(*[F.lit(float(f)) for f in fractions])
-        return histogram.agg(F.percentile("value", points, "weight").alias("v")).select(
+        return histogram.agg(F.percentile("value", points, F.col("weight")).alias("v")).select(
             F.explode(F.arrays_zip(points.alias("fraction"), F.col("v").alias("value"))).alias("z")
         ).select("z.fraction", "z.value")
 

@@ -14,14 +14,16 @@ def ingest_available(
     time_col: str,
     sink: str,
     checkpoint: str,
+    pattern: str = "*.parquet",
     max_files: int = 1000,
 ) -> None:
-    """Append every source file not seen before to ``sink``, by event day.
+    """Append every file of the folder ``source`` not seen before, by event day.
 
     The checkpoint remembers files, not times, so rows that arrive late are read
     like any others, and a rerun without new files adds nothing.
     """
-    arrivals = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).parquet(source)
+    options = {"maxFilesPerTrigger": max_files, "pathGlobFilter": pattern}
+    arrivals = spark.readStream.schema(schema).options(**options).parquet(source)
     (
         arrivals.withColumn("dt", F.to_date(time_col))
         .writeStream.format("parquet")
