@@ -17,7 +17,7 @@ from orderlens.plans import marts, quality
 from orderlens.plans.base import SalesBase
 from orderlens.plans.run import run_marts
 from orderlens.plans.transform import transform
-from orderlens.session import fresh_dir
+from orderlens.session import fresh_dir, small_table
 from orderlens.sources import incremental as inc
 from orderlens.sources import marks, readers, sinks
 from orderlens.streaming.ingest import ingest_available, ingested
@@ -64,7 +64,7 @@ def checkpoint_advance(spark, sf_dir):
     seen = inc.incremental(fx.table(spark, sf_dir, "events"), "ts", before)
     marks.advance_mark(spark, path, "events", marks.increment_mark(seen, "ts").first()[0])
     after = marks.read_mark(spark, path, "events")
-    return spark.createDataFrame([("events", before, after)], "name string, mark_before string, mark_after string")
+    return small_table(spark, [("events", before, after)], "name string, mark_before string, mark_after string")
 
 
 def dim_snapshot_latest(spark, sf_dir):
@@ -103,7 +103,7 @@ def row_counts(spark, sf_dir):
         "date_dim": fx.date_dim(spark, sf_dir),
     }
     counts = [(name, sinks.overwrite_table(df, f"{out}/{name}")) for name, df in tables.items()]
-    return spark.createDataFrame(counts, "table_name string, row_count long")
+    return small_table(spark, counts, "table_name string, row_count long")
 
 
 def ingest_available_now(spark, sf_dir):

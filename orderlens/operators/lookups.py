@@ -43,7 +43,7 @@ def lookup_join(
     """
     values = [c for c in lookup.columns if c not in (key, weight)]
     if fits_broadcast(lookup, max_rows):
-        return facts.join(F.broadcast(lookup.drop(weight)), key, "left")
+        return facts.join(F.broadcast(lookup.drop(weight)), key, "left").select(*facts.columns, *values)
 
     total = lookup.agg(F.sum(weight)).first()[0] or 0
     is_hot = F.col(weight) > total / HOT_SHARE

@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from orderlens.session import keep
+from orderlens.session import keep, small_table
 
 SLICE_ROWS = 2_000_000
 # Up to this many counted rows a single sorted task is the cheaper plan.
@@ -46,7 +46,7 @@ def rows_at_positions(
         entries.repartitionByRange(slices, "measure", "value", "tie").withColumn("slice", F.spark_partition_id()),
         "ranked",
     )
-    totals = placed.groupBy("measure", "slice").agg(F.sum("weight").alias("n")).orderBy("measure", "slice").collect()
+    totals = sorted(placed.groupBy("measure", "slice").agg(F.sum("weight").alias("n")).collect())
 
     targets = []
     for measure, positions in wanted.items():
@@ -60,7 +60,7 @@ def rows_at_positions(
         return []
 
     spark = entries.sparkSession
-    target = spark.createDataFrame(targets, "measure string, slice int, offset long, position long")
+    target = small_table(spark, targets, "measure string, slice int, offset long, position long")
     inside = Window.partitionBy("measure", "slice").orderBy("value", "tie")
     upto = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     hits = (
@@ -163,4 +163,4 @@ def exact_percentiles(
     for fraction, rank in ranks.items():
         low, high = at[math.floor(rank) + 1], at[math.ceil(rank) + 1]
         answer.append((float(fraction), low + (high - low) * (rank - math.floor(rank))))
-    return spark.createDataFrame(answer, "fraction double, value double")
+    return small_table(spark, answer, "fraction double, value double")

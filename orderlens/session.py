@@ -5,7 +5,10 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 # Only what the marts rely on; everything else stays the cluster's choice.
 RECOMMENDED_CONF = {
@@ -64,3 +67,10 @@ def keep(df: DataFrame, label: str) -> DataFrame:
     path = fresh_dir(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def small_table(spark: SparkSession, rows: list[tuple], ddl: str) -> DataFrame:
+    """A few driver-side rows as a local relation, without Python workers."""
+    schema = StructType.fromDDL(ddl)
+    records = [dict(zip(schema.fieldNames(), row)) for row in rows]
+    return spark.createDataFrame(pa.Table.from_pylist(records, to_arrow_schema(schema)), schema)
