@@ -6,40 +6,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orderlens.operators.lookups import MAX_BROADCAST_ROWS, lookup_join
+from orderlens.operators.ranking import lower_medians
 from orderlens.session import keep
 
 # Fixed value: a price above this multiple of the item's median is an error.
 MAX_PRICE_RATIO = 20
-# Rank error of the median is at most one in this many rows.
-MEDIAN_ACCURACY = 100_000
-
-
-def item_medians(items: DataFrame, accuracy: int = MEDIAN_ACCURACY) -> DataFrame:
-    """Lower median price and row count of every named item.
-
-    The sketches merge, so an item that holds most of the rows is reduced in
-    every map task before its sketches meet.
-    """
-    return (
-        items.filter(F.col("item_name").isNotNull())
-        .groupBy("item_name")
-        .agg(
-            F.percentile_approx("item_price", 0.5, accuracy).alias("median_item_price"),
-            F.count(F.lit(1)).alias("row_count"),
-        )
-    )
-
-
-def with_price_ratio(
-    items: DataFrame,
-    accuracy: int = MEDIAN_ACCURACY,
-    max_broadcast_rows: int = MAX_BROADCAST_ROWS,
-) -> DataFrame:
+
+
+def item_medians(items: DataFrame, **options) -> DataFrame:
+    """Exact lower median price and row count of every named item."""
+    named = items.filter(F.col("item_name").isNotNull())
+    return lower_medians(named, "item_name", "item_price", **options).withColumnRenamed("median", "median_item_price")
+
+
+def with_price_ratio(items: DataFrame, max_broadcast_rows: int = MAX_BROADCAST_ROWS, **options) -> DataFrame:
     """Add median_item_price and price_ratio (null without a positive median)."""
-    medians = keep(item_medians(items, accuracy), "medians")
-    joined = lookup_join(
-        items, medians, "item_name", "row_count", ["order_id", "lineitem_id"], max_broadcast_rows
-    )
+    medians = keep(item_medians(items, **options), "medians")
+    joined = lookup_join(items, medians, "item_name", "row_count", ["order_id", "lineitem_id"], max_broadcast_rows)
     median = F.col("median_item_price")
     return joined.withColumn("price_ratio", F.when(median > 0, F.col("item_price") / median))
 

@@ -1,15 +1,15 @@
-"""Global ranks without a global sort on one task.
+"""Exact order statistics without sorting everything, or a hot group, on one task.
 
-``Window.orderBy`` without a partition key moves every row to a single task.
-Both operators here need only a handful of rows at known global positions, so
-the rows are range-partitioned, the partitions are counted, and just the
-partitions that hold a wanted position are numbered.
+``Window.orderBy`` without a partition key moves every row to a single task, and
+with one it moves a whole group there. The operators here need only a few rows
+at known positions. So the entries are range-partitioned into slices of bounded
+size, the slices are counted, and only within the slices that hold a wanted
+position are rows numbered.
 """
 
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -17,60 +17,51 @@ from pyspark.sql import functions as F
 from orderlens.session import keep, small_table
 
 SLICE_ROWS = 2_000_000
-# Up to this many counted rows a single sorted task is the cheaper plan.
-ONE_TASK_ROWS = 1_000_000
 MAX_SLICES = 20_000
+# Up to this many counted rows one sorted task is the cheaper plan.
+ONE_TASK_ROWS = 1_000_000
 
 
-@dataclass(frozen=True)
-class Position:
-    """The row at a 1-based global position of one measure's order."""
-
-    measure: str
-    position: int
-    value: float
-    tie: object
-
-
-def rows_at_positions(
-    entries: DataFrame, wanted: dict[str, list[int]], entry_count: int, slice_rows: int = SLICE_ROWS
-) -> list[Position]:
-    """Find rows by global position in ``(value, tie)`` order, per measure.
+def at_positions(
+    entries: DataFrame,
+    group: str,
+    order: list[Column],
+    wanted: DataFrame,
+    entry_count: int,
+    slice_rows: int = SLICE_ROWS,
+) -> DataFrame:
+    """The entry at each wanted 1-based position of its group.
 
-    ``entries`` has columns measure, value, tie, weight; (measure, value, tie) is
-    unique and an entry covers ``weight`` consecutive positions. Only counts per
-    slice and the requested rows reach the driver.
+    An entry covers ``weight`` consecutive positions and ``(group, *order)`` is
+    unique. ``wanted`` has (group, position). The slices are stored before they
+    are counted, because range bounds are sampled and must not be drawn twice.
     """
     slices = min(MAX_SLICES, max(1, math.ceil(entry_count / slice_rows)))
     placed = keep(
-        entries.repartitionByRange(slices, "measure", "value", "tie").withColumn("slice", F.spark_partition_id()),
-        "ranked",
+        entries.repartitionByRange(slices, F.col(group), *order).withColumn("slice", F.spark_partition_id()),
+        "placed",
+    )
+    from_start = (Window.unboundedPreceding, Window.currentRow)
+    by_slice = Window.partitionBy(group).orderBy("slice").rowsBetween(*from_start)
+    spans = (
+        placed.groupBy(group, "slice")
+        .agg(F.sum("weight").alias("n"))
+        .withColumn("upto", F.sum("n").over(by_slice))
+    )
+    target = (
+        spans.join(wanted, group)
+        .filter((F.col("position") <= F.col("upto")) & (F.col("position") > F.col("upto") - F.col("n")))
+        .select(group, "slice", "position", (F.col("position") - F.col("upto") + F.col("n")).alias("offset"))
+    )
+    within = Window.partitionBy(group, "slice").orderBy(*order).rowsBetween(*from_start)
+    numbered = placed.join(target.select(group, "slice").distinct(), [group, "slice"], "left_semi").withColumn(
+        "last", F.sum("weight").over(within)
     )
-    totals = sorted(placed.groupBy("measure", "slice").agg(F.sum("weight").alias("n")).collect())
-
-    targets = []
-    for measure, positions in wanted.items():
-        passed = 0
-        for row in (t for t in totals if t["measure"] == measure):
-            targets += [
-                (measure, row["slice"], p - passed, p) for p in positions if passed < p <= passed + row["n"]
-            ]
-            passed += row["n"]
-    if not targets:
-        return []
-
-    spark = entries.sparkSession
-    target = small_table(spark, targets, "measure string, slice int, offset long, position long")
-    inside = Window.partitionBy("measure", "slice").orderBy("value", "tie")
-    upto = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    hits = (
-        placed.join(F.broadcast(target.select("measure", "slice").distinct()), ["measure", "slice"], "left_semi")
-        .withColumn("last", F.sum("weight").over(upto))
-        .join(F.broadcast(target), ["measure", "slice"])
+    return (
+        numbered.join(target, [group, "slice"])
         .filter((F.col("offset") <= F.col("last")) & (F.col("offset") > F.col("last") - F.col("weight")))
-        .select("measure", "position", "value", "tie")
+        .select("position", *entries.columns)
     )
-    return [Position(*row) for row in hits.collect()]
 
 
 def _sortable(measure: str) -> Column:
@@ -96,7 +87,8 @@ def distributed_ntile(
 
     ``df`` is a stored table and ``tie`` is unique and never null in it, which
     makes every order total. A large input is scored by comparing each row with
-    the last row of each bucket: no shuffle of whole rows.
+    the last row of each bucket: no shuffle of whole rows, and only those few
+    rows reach the driver.
     """
     rows = df.count()
     if rows <= one_task_rows:
@@ -105,26 +97,67 @@ def distributed_ntile(
         )
 
     measures = list(dict.fromkeys(scores.values()))
-    entries = df.select(
-        F.explode(F.array(*[F.struct(F.lit(m).alias("measure"), _sortable(m).alias("value")) for m in measures])).alias("e"),
-        F.col(tie).alias("tie"),
-    ).select("e.measure", "e.value", "tie", F.lit(1).cast("long").alias("weight"))
+    pairs = [F.struct(F.lit(m).alias("measure"), _sortable(m).alias("value")) for m in measures]
+    entries = df.select(F.explode(F.array(*pairs)).alias("e"), F.col(tie).alias("tie")).select(
+        "e.measure", "e.value", "tie", F.lit(1).cast("long").alias("weight")
+    )
     ends = bucket_ends(rows, buckets)
-    found = rows_at_positions(entries, {m: sorted(set(ends)) for m in measures}, rows * len(measures), slice_rows)
-    last_row = {(p.measure, p.position): p for p in found if p.position}
+    wanted = small_table(
+        df.sparkSession,
+        [(m, end) for m in measures for end in sorted(set(ends)) if end],
+        "measure string, position long",
+    )
+    order = [F.col("value"), F.col("tie")]
+    found = at_positions(entries, "measure", order, wanted, rows * len(measures), slice_rows).collect()
+    edges = {(r["measure"], r["position"]): r for r in found}
 
     def score(measure: str) -> Column:
         value, bucket = _sortable(measure), F.lit(buckets)
         for number, end in reversed(list(enumerate(ends, start=1))):
-            edge = last_row.get((measure, end))
+            edge = edges.get((measure, end))
             if edge is not None:
-                inside = (value < edge.value) | ((value == edge.value) & (F.col(tie) <= F.lit(edge.tie)))
+                inside = (value < edge["value"]) | ((value == edge["value"]) & (F.col(tie) <= F.lit(edge["tie"])))
                 bucket = F.when(inside, number).otherwise(bucket)
         return bucket
 
     return df.withColumns({out: score(m) for out, m in scores.items()})
 
 
+def lower_medians(
+    df: DataFrame, group: str, value: str, one_task_rows: int = ONE_TASK_ROWS, slice_rows: int = SLICE_ROWS
+) -> DataFrame:
+    """(group, median, row_count): exact lower median of ``value`` per group.
+
+    Each group is first folded to its distinct values, so a hot group with a few
+    hundred prices is as cheap as any other. Only when some group keeps more
+    distinct values than one task should sort are the values sliced. Null values
+    are counted in row_count but do not take part in the median.
+    """
+    histogram = keep(df.groupBy(group, value).agg(F.count(F.lit(1)).alias("weight")), "histogram")
+    known = F.sum(F.when(F.col(value).isNotNull(), F.col("weight")).otherwise(0))
+    groups = histogram.groupBy(group).agg(
+        F.sum("weight").alias("row_count"),
+        # A group of nulls only has its null entry as the first position.
+        F.greatest(F.floor((known + 1) / 2), F.lit(1)).cast("long").alias("position"),
+        F.count(F.lit(1)).alias("entries"),
+    )
+    widest, entry_count = groups.agg(F.max("entries"), F.sum("entries")).first()
+    order = [F.col(value).asc_nulls_last()]
+    if (widest or 0) <= one_task_rows:
+        rows = Window.partitionBy(group)
+        last = F.sum("weight").over(rows.orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        total, nulls = F.sum("weight").over(rows), F.sum(F.when(F.col(value).isNull(), F.col("weight")).otherwise(0)).over(rows)
+        position = F.greatest(F.floor((total - nulls + 1) / 2), F.lit(1))
+        return (
+            histogram.select(group, value, "weight", last.alias("last"), total.alias("row_count"), position.alias("position"))
+            .filter((F.col("position") <= F.col("last")) & (F.col("position") > F.col("last") - F.col("weight")))
+            .select(group, F.col(value).alias("median"), "row_count")
+        )
+    groups = keep(groups, "groups")
+    found = at_positions(histogram, group, order, groups.select(group, "position"), entry_count, slice_rows)
+    return found.join(groups.select(group, "row_count"), group).select(group, F.col(value).alias("median"), "row_count")
+
+
 # Distinct values an exact in-memory percentile may hold on one task.
 PERCENTILE_VALUES = 1_000_000
 
@@ -141,7 +174,6 @@ def exact_percentiles(
     The rows are first reduced to a histogram, so a repeated value costs one
     entry. A histogram too wide for one task is searched by position instead.
     """
-    spark = df.sparkSession
     histogram = keep(
         df.filter(F.col(value).isNotNull())
         .groupBy(F.col(value).cast("double").alias("value"))
@@ -156,11 +188,13 @@ def exact_percentiles(
         ).select("z.fraction", "z.value")
 
     ranks = {f: f * (rows - 1) for f in fractions}
-    wanted = sorted({int(p) + 1 for r in ranks.values() for p in (math.floor(r), math.ceil(r))})
-    entries = histogram.select(F.lit("value").alias("measure"), "value", F.col("value").alias("tie"), "weight")
-    at = {p.position: p.value for p in rows_at_positions(entries, {"value": wanted}, distinct, slice_rows)}
+    positions = sorted({int(p) + 1 for r in ranks.values() for p in (math.floor(r), math.ceil(r))})
+    wanted = small_table(df.sparkSession, [("all", p) for p in positions], "measure string, position long")
+    entries = histogram.select(F.lit("all").alias("measure"), "value", "weight")
+    found = at_positions(entries, "measure", [F.col("value")], wanted, distinct, slice_rows).collect()
+    at = {r["position"]: r["value"] for r in found}
     answer = []
     for fraction, rank in ranks.items():
         low, high = at[math.floor(rank) + 1], at[math.ceil(rank) + 1]
         answer.append((float(fraction), low + (high - low) * (rank - math.floor(rank))))
-    return small_table(spark, answer, "fraction double, value double")
+    return small_table(df.sparkSession, answer, "fraction double, value double")

@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from orderlens.functions.columns import snake_lower
 from orderlens.functions.times import failure_counts, parse_dates, parse_timestamps, parsed_date, parsed_time
 from orderlens.schemas import LINE_KEY
-from orderlens.sources.readers import drop_superseded, latest_snapshot, read_raw
 from orderlens.session import small_table
+from orderlens.sources.readers import drop_superseded, latest_snapshot, read_raw
 from orderlens.sources.sinks import write_observed
 
 CHECKS = "table string, rows long, unparseable long, missing long"
@@ -57,6 +57,8 @@ def transform(spark: SparkSession, raw_root: str, processed_root: str) -> DataFr
         "order_item_options": write_observed(options, f"{processed_root}/order_item_options", "overwrite"),
         "date_dim": _store_parsed(dates, f"{processed_root}/date_dim", "date_key", parsed_date("date_key")),
     }
-    return small_table(spark, 
-        [(t, m.get("rows", 0), m.get("unparseable", 0), m.get("missing", 0)) for t, m in seen.items()], CHECKS
+    return small_table(
+        spark,
+        [(t, m.get("rows", 0), m.get("unparseable", 0), m.get("missing", 0)) for t, m in seen.items()],
+        CHECKS,
     )

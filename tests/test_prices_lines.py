@@ -1,3 +1,4 @@
+import random
 from datetime import datetime
 
 import pytest
@@ -28,10 +29,15 @@ def test_price_rule_bounds(spark, limit):
     assert kept.columns == df.columns
 
 
-def test_median_is_the_lower_one(spark):
-    df = priced(spark, [("tea", p) for p in (1.0, 2.0, 3.0, 4.0)] + [(None, 9.0)])
-    row = prices.item_medians(df).collect()
-    assert [(r.item_name, r.median_item_price, r.row_count) for r in row] == [("tea", 2.0, 4)]
+@pytest.mark.parametrize("options", [{}, {"one_task_rows": 0, "slice_rows": 2}])
+def test_medians_are_exact_and_lower(spark, options):
+    rng = random.Random(5)
+    rows = [("tea", p) for p in (4.0, 1.0, 3.0, 2.0, None)] + [(None, 9.0), ("unpriced", None), ("unpriced", None)]
+    rows += [("hot", rng.choice([1.0, 2.0, round(rng.random() * 9, 3)])) for _ in range(301)]
+    found = {r.item_name: (r.median_item_price, r.row_count) for r in prices.item_medians(priced(spark, rows), **options).collect()}
+    hot = sorted(p for name, p in rows if name == "hot")
+    assert found == {"tea": (2.0, 5), "unpriced": (None, 2), "hot": (hot[150], 301)}
+    assert prices.item_medians(priced(spark, []), **options).count() == 0
 
 
 def test_large_lookup_keeps_every_row_and_spreads_hot_keys(spark):
