@@ -51,7 +51,8 @@ extras AS (
   FROM options GROUP BY order_id, lineitem_id),
 lines AS (
   SELECT clean.*, item_price * item_quantity AS item_revenue, coalesce(options_sum, 0) AS options_revenue,
-    item_price * item_quantity + coalesce(options_sum, 0) AS total_revenue
+    item_price * item_quantity + coalesce(options_sum, 0) AS total_revenue,
+    CAST(item_price * item_quantity + coalesce(options_sum, 0) AS DECIMAL(24, 6)) AS amount
   FROM clean LEFT JOIN extras USING (order_id, lineitem_id)),
 volume AS (
   SELECT user_id, count(*) AS total_line_items, count(*) > {THRESHOLD} AS flag
@@ -59,15 +60,15 @@ volume AS (
 flagged_lines AS (
   SELECT lines.*, coalesce(flag, false) AS flag FROM lines LEFT JOIN volume USING (user_id)),
 daily AS (
-  SELECT user_id, order_date, round(sum(total_revenue), 6) AS daily_revenue
+  SELECT user_id, order_date, sum(amount) AS amount
   FROM lines WHERE user_id IS NOT NULL GROUP BY user_id, order_date),
 clv AS (
-  SELECT user_id, order_date, daily_revenue,
-    round(sum(daily_revenue) OVER (PARTITION BY user_id ORDER BY order_date
-      ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 6) AS cumulative_clv FROM daily),
+  SELECT user_id, order_date, CAST(amount AS DOUBLE) AS daily_revenue,
+    CAST(sum(amount) OVER (PARTITION BY user_id ORDER BY order_date
+      ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DOUBLE) AS cumulative_clv FROM daily),
 customers AS (
   SELECT user_id, CAST(date_diff('day', max(order_date), (SELECT max(order_date) FROM lines)) AS INTEGER) AS recency_days,
-    count(DISTINCT order_id) AS frequency, round(sum(total_revenue), 6) AS monetary,
+    count(DISTINCT order_id) AS frequency, CAST(sum(amount) AS DOUBLE) AS monetary,
     min(order_date) AS first_day, max(order_date) AS last_day, count(DISTINCT order_date) AS order_days,
     any_value(flag) AS flag
   FROM flagged_lines WHERE user_id IS NOT NULL GROUP BY user_id),
@@ -87,33 +88,33 @@ churn AS (
   SELECT *, CASE WHEN recency_days <= 30 THEN 'Active' WHEN recency_days <= 90 THEN 'At Risk' ELSE 'Churned' END
     AS risk_tier, coalesce(recency_days > 2 * avg_days_between_orders, false) AS is_overdue FROM gaps),
 daily_sales AS (
-  SELECT order_date, round(sum(total_revenue), 6) AS total_revenue, count(DISTINCT order_id) AS order_count
+  SELECT order_date, CAST(sum(amount) AS DOUBLE) AS total_revenue, count(DISTINCT order_id) AS order_count
   FROM lines GROUP BY order_date),
 sales AS (
   SELECT daily_sales.*, CASE WHEN order_count <> 0 THEN total_revenue / order_count END AS avg_order_value, is_holiday
   FROM daily_sales LEFT JOIN dim ON order_date = date_key),
 loyalty AS (
   SELECT *, CASE WHEN order_count <> 0 THEN total_revenue / order_count END AS avg_order_value FROM (
-    SELECT is_loyalty, flag AS is_likely_non_individual, round(sum(total_revenue), 6) AS total_revenue,
+    SELECT is_loyalty, flag AS is_likely_non_individual, CAST(sum(amount) AS DOUBLE) AS total_revenue,
       count(DISTINCT order_id) AS order_count, count(DISTINCT user_id) AS distinct_customers
     FROM flagged_lines GROUP BY is_loyalty, flag)),
 locations AS (
   SELECT *, CASE WHEN order_count <> 0 THEN total_revenue / order_count END AS avg_order_value,
     CASE WHEN total_revenue <> 0 THEN flagged_account_revenue / total_revenue END AS flagged_revenue_share FROM (
-    SELECT restaurant_id, round(sum(total_revenue), 6) AS total_revenue, count(DISTINCT order_id) AS order_count,
+    SELECT restaurant_id, CAST(sum(amount) AS DOUBLE) AS total_revenue, count(DISTINCT order_id) AS order_count,
       count(DISTINCT user_id) AS distinct_customers,
-      round(sum(CASE WHEN flag THEN total_revenue ELSE 0 END), 6) AS flagged_account_revenue,
+      CAST(sum(CASE WHEN flag THEN amount ELSE 0 END) AS DOUBLE) AS flagged_account_revenue,
       count(DISTINCT CASE WHEN flag THEN order_id END) AS flagged_account_order_count
     FROM flagged_lines GROUP BY restaurant_id)),
 tiered AS (
   SELECT *, CASE WHEN item_price < 0.01 THEN 'Free' WHEN item_price < 5 THEN '$0.01-$5' WHEN item_price < 10
     THEN '$5-$10' WHEN item_price < 20 THEN '$10-$20' ELSE '$20+' END AS price_tier FROM lines),
 tiers AS (
-  SELECT price_tier, round(sum(total_revenue), 6) AS total_revenue, count(*) AS line_item_count,
+  SELECT price_tier, CAST(sum(amount) AS DOUBLE) AS total_revenue, count(*) AS line_item_count,
     count(DISTINCT order_id) AS order_count, count(DISTINCT user_id) AS distinct_customers
   FROM tiered GROUP BY price_tier),
 order_totals AS (
-  SELECT order_id, sum(total_revenue) AS order_total, bool_or(item_price = 0) AS has_free
+  SELECT order_id, sum(amount) AS order_total, bool_or(item_price = 0) AS has_free
   FROM lines GROUP BY order_id),
 item_volume AS (
   SELECT user_id, count(*) AS line_items, count(*) FILTER (WHERE is_loyalty) AS yes,
@@ -126,8 +127,9 @@ CALENDAR = """CAST(year({d}) AS INTEGER) AS "year", CAST(month({d}) AS INTEGER)
   CAST(week({d}) AS INTEGER) AS "week", dayname({d}) AS day_of_week, isodow({d}) >= 6 AS is_weekend"""
 
 WRONG_AVERAGE = "count(*) FILTER (WHERE abs(avg_order_value - total_revenue / order_count) > 0.01)"
+TOTAL_REVENUE = "CAST(sum(CAST(total_revenue AS DECIMAL(34, 6))) AS DOUBLE)"
 RECONCILED = [
-    ("total_revenue", "round(sum(total_revenue), 4)", "abs({v} - (SELECT sum(total_revenue) FROM sales)) < 1.0"),
+    ("total_revenue", TOTAL_REVENUE, "abs({v} - (SELECT CAST(sum(CAST(total_revenue AS DECIMAL(34, 6))) AS DOUBLE) FROM sales)) < 1.0"),
     ("total_orders", "sum(order_count)", "{v} = (SELECT sum(order_count) FROM sales)"),
     ("wrong_average", WRONG_AVERAGE, "{v} = 0"),
 ]
@@ -304,13 +306,13 @@ ORACLES: dict[str, str] = {
     "price_tier_mart": q("SELECT * FROM tiers"),
     "free_item_orders": q("SELECT order_id FROM order_totals WHERE has_free"),
     "orders_without_free_item": q(
-        "SELECT order_id, round(order_total, 6) AS order_total FROM order_totals WHERE NOT has_free"
+        "SELECT order_id, CAST(order_total AS DOUBLE) AS order_total FROM order_totals WHERE NOT has_free"
     ),
     "free_item_order_value": q(
         "SELECT count(*) FILTER (WHERE has_free) AS free_item_orders, "
-        "round(sum(order_total) FILTER (WHERE has_free), 6) / count(order_total) FILTER (WHERE has_free) "
+        "CAST(sum(order_total) FILTER (WHERE has_free) AS DOUBLE) / count(order_total) FILTER (WHERE has_free) "
         "AS avg_with_free_item, "
-        "round(sum(order_total) FILTER (WHERE NOT has_free), 6) / count(order_total) FILTER (WHERE NOT has_free) "
+        "CAST(sum(order_total) FILTER (WHERE NOT has_free) AS DOUBLE) / count(order_total) FILTER (WHERE NOT has_free) "
         "AS avg_without_free_item FROM order_totals"
     ),
     "mart_run_status": q(MART_ROWS),
@@ -326,7 +328,7 @@ ORACLES: dict[str, str] = {
                 ("dates_without_holiday_info", "count(*) FILTER (WHERE is_holiday IS NULL)", None),
                 *NO_NEGATIVES,
                 ("wrong_average", WRONG_AVERAGE, ZERO),
-                ("total_revenue", "round(sum(total_revenue), 4)", None),
+                ("total_revenue", TOTAL_REVENUE, None),
                 ("total_orders", "sum(order_count)", None),
             ],
         )

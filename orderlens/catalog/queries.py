@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from orderlens.catalog import fixtures as fx
 from orderlens.functions import times
 from orderlens.functions.calendar import with_calendar
-from orderlens.functions.columns import money, price_tier, snake_lower
+from orderlens.functions.columns import MONEY_SCALE, price_tier, snake_lower
 from orderlens.operators import accounts, lines, prices
 from orderlens.operators.ranking import SLICE_ROWS
 from orderlens.plans import marts, quality
@@ -190,7 +190,7 @@ def line_revenue(spark, sf_dir):
     base = fx.sales_base(spark, sf_dir)
     found = lines.line_revenue(base.clean_items, base.options)
     revenue = ("item_revenue", "options_revenue", "total_revenue")
-    return found.select("order_id", "lineitem_id", *[money(F.col(c)).alias(c) for c in revenue])
+    return found.select("order_id", "lineitem_id", *[F.round(c, MONEY_SCALE).alias(c) for c in revenue])
 
 
 def line_items_per_customer(spark, sf_dir):

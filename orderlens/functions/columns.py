@@ -5,8 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Decimals kept on summed money: far below a cent, far above the noise that
-# the order of additions leaves in a double.
+# Money is summed as decimals, to a millionth. A sum of doubles depends on the
+# order of its additions, so reruns, retries and marts would not agree to the
+# cent on large totals; a decimal sum is the same however the rows are split.
+AMOUNT = "decimal(24,6)"
+TOTAL = "decimal(34,6)"
 MONEY_SCALE = 6
 
 
@@ -15,8 +18,14 @@ def snake_lower(df: DataFrame) -> DataFrame:
     return df.toDF(*[name.lower() for name in df.columns])
 
 
+def amount(value: str) -> Column:
+    """A double amount of money as an exact decimal."""
+    return F.col(value).cast(AMOUNT)
+
+
 def money(total: Column) -> Column:
-    return F.round(total, MONEY_SCALE)
+    """An exact total as the double the marts show."""
+    return total.cast("double")
 
 
 def ratio(numerator, denominator) -> Column:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from orderlens.functions.columns import TOTAL, amount
 from orderlens.schemas import LINE_KEY
 
 # One row per order wherever these attributes are constant within an order;
@@ -35,9 +36,12 @@ def with_order_date(lines: DataFrame) -> DataFrame:
 
 
 def order_slices(lines: DataFrame) -> DataFrame:
-    """Lines folded to the order grain; the marts aggregate these, not lines."""
+    """Lines folded to the order grain; the marts aggregate these, not lines.
+
+    ``total_revenue`` is an exact decimal from here until a mart shows it.
+    """
     return lines.groupBy(*SLICE_KEYS).agg(
-        F.sum("total_revenue").alias("total_revenue"),
+        F.sum(amount("total_revenue")).cast(TOTAL).alias("total_revenue"),
         F.count(F.lit(1)).alias("line_count"),
         F.count_if(F.col("item_price") == 0).alias("free_line_count"),
     )

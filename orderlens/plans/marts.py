@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from orderlens.functions.calendar import with_calendar
-from orderlens.functions.columns import money, price_tier, ratio
+from orderlens.functions.columns import TOTAL, amount, money, price_tier, ratio
 from orderlens.operators.accounts import FLAG, MAX_INDIVIDUAL_LINES, with_account_flag
 from orderlens.operators.ranking import ONE_TASK_ROWS, distributed_ntile
 from orderlens.operators.totals import group_totals
@@ -33,14 +33,14 @@ def clv_daily(slices: DataFrame, dim: DataFrame, threshold: int = MAX_INDIVIDUAL
     days = (
         _known(slices)
         .groupBy("user_id", "order_date")
-        .agg(money(F.sum("total_revenue")).alias("daily_revenue"), F.sum("line_count").alias("line_count"))
+        .agg(F.sum("total_revenue").alias("daily_revenue"), F.sum("line_count").alias("line_count"))
     )
     customer = Window.partitionBy("user_id")
     so_far = customer.orderBy("order_date").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     running = days.select(
         "user_id",
         "order_date",
-        "daily_revenue",
+        money(F.col("daily_revenue")).alias("daily_revenue"),
         money(F.sum("daily_revenue").over(so_far)).alias("cumulative_clv"),
         (F.sum("line_count").over(customer) > threshold).alias(FLAG),
     )
@@ -157,7 +157,7 @@ def location_performance(slices: DataFrame, flagged: DataFrame, **options) -> Da
         rows,
         ["restaurant_id"],
         per_order={
-            "flagged_revenue": F.sum(F.when(F.col(FLAG), F.col("total_revenue")).otherwise(0.0)),
+            "flagged_revenue": F.sum(F.when(F.col(FLAG), F.col("total_revenue")).otherwise(F.lit(0))),
             "flagged": F.bool_or(FLAG),
         },
         per_group={
@@ -175,7 +175,9 @@ def location_performance(slices: DataFrame, flagged: DataFrame, **options) -> Da
 
 def price_tiers(lines: DataFrame) -> DataFrame:
     """Totals per price tier; the data has no discount, so price points stand in."""
-    rows = lines.select(price_tier().alias("price_tier"), "order_id", "user_id", "total_revenue")
+    rows = lines.select(
+        price_tier().alias("price_tier"), "order_id", "user_id", amount("total_revenue").alias("total_revenue")
+    )
     return group_totals(
         rows,
         ["price_tier"],
@@ -195,8 +197,9 @@ def free_item_orders(lines: DataFrame) -> DataFrame:
     return lines.filter(F.col("item_price") == 0).select("order_id").distinct()
 
 
-def orders_without_free_item(slices: DataFrame, free_orders: DataFrame) -> DataFrame:
-    totals = slices.groupBy("order_id").agg(money(F.sum("total_revenue")).alias("order_total"))
+def orders_without_free_item(lines: DataFrame, free_orders: DataFrame) -> DataFrame:
+    """Totals of all other orders; takes lines or slices."""
+    totals = lines.groupBy("order_id").agg(money(F.sum(F.col("total_revenue").cast(TOTAL))).alias("order_total"))
     return totals.join(free_orders, "order_id", "left_anti")
 
 

@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from orderlens.functions.columns import money
+from orderlens.functions.columns import MONEY_SCALE, TOTAL
 from orderlens.operators.accounts import FLAG
 from orderlens.operators.lookups import lookup_join
 from orderlens.operators.ranking import exact_percentiles
@@ -57,6 +57,10 @@ def _day_number(day: Column) -> Column:
     return F.year(day) * 10000 + F.month(day) * 100 + F.dayofmonth(day)
 
 
+def _total_revenue() -> Column:
+    return F.sum(F.col("total_revenue").cast(TOTAL)).cast("double")
+
+
 def _wrong_average() -> Column:
     again = F.try_divide(F.col("total_revenue"), F.col("order_count"))
     return F.count_if(F.abs(F.col("avg_order_value") - again) > AVERAGE_TOLERANCE)
@@ -78,7 +82,7 @@ def sales_checks(sales: DataFrame) -> DataFrame:
             ("min_orders", F.min("order_count"), None),
             ("no_orders", F.count_if(F.col("order_count") <= 0), zero),
             ("wrong_average", _wrong_average(), zero),
-            ("total_revenue", F.round(F.sum("total_revenue"), 4), None),
+            ("total_revenue", _total_revenue(), None),
             ("total_orders", F.sum("order_count"), None),
         ],
     )
@@ -299,10 +303,10 @@ def threshold_impact(volume: DataFrame, thresholds=THRESHOLDS) -> DataFrame:
 
 def _reconciled(sales: DataFrame) -> list[tuple[str, Column, Rule | None]]:
     """Totals of a mart against the totals of the daily sales mart."""
-    revenue = sales.agg(F.sum("total_revenue")).scalar()
+    revenue = sales.agg(_total_revenue()).scalar()
     orders = sales.agg(F.sum("order_count")).scalar()
     return [
-        ("total_revenue", F.round(F.sum("total_revenue"), 4), lambda v: F.abs(v - revenue) < REVENUE_TOLERANCE),
+        ("total_revenue", _total_revenue(), lambda v: F.abs(v - revenue) < REVENUE_TOLERANCE),
         ("total_orders", F.sum("order_count"), lambda v: v == orders),
         ("wrong_average", _wrong_average(), zero),
     ]
@@ -443,8 +447,8 @@ def price_signs(items: DataFrame, options: DataFrame) -> DataFrame:
             df,
             column,
             [
-                ("min", money(F.min(price)), None),
-                ("max", money(F.max(price)), None),
+                ("min", F.round(F.min(price), MONEY_SCALE), None),
+                ("max", F.round(F.max(price), MONEY_SCALE), None),
                 ("negative", F.count_if(price < 0), zero),
                 ("zero", F.count_if(price == 0), None),
                 ("null", F.count_if(price.isNull()), None),

@@ -1,4 +1,5 @@
 from datetime import date, timedelta
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -12,7 +13,7 @@ from orderlens.session import keep
 DAY = date(2024, 1, 1)
 SLICES = (
     "order_id long, user_id string, restaurant_id int, is_loyalty boolean, order_date date, "
-    "total_revenue double, line_count long, free_line_count long"
+    "total_revenue decimal(34,6), line_count long, free_line_count long"
 )
 DIM = "date_key date, is_holiday boolean, holiday_name string"
 
@@ -23,7 +24,8 @@ def slices(spark, rows):
     for order, user, day, revenue, *rest in rows:
         restaurant, line_count, free = (rest + [1, 1, 0][len(rest):])[:3]
         when = None if day is None else DAY + timedelta(days=day)
-        full.append((order, user, restaurant, order % 2 == 0, when, revenue, line_count, free))
+        amount = None if revenue is None else Decimal(str(revenue))
+        full.append((order, user, restaurant, order % 2 == 0, when, amount, line_count, free))
     return spark.createDataFrame(full, SLICES)
 
 

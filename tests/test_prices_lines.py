@@ -1,5 +1,6 @@
 import random
 from datetime import datetime
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -82,10 +83,10 @@ def test_line_revenue(spark):
 
 
 def slices_of(spark, counts):
-    rows = [(i, user, 1, True, datetime(2024, 1, 1).date(), 1.0, n, 0) for i, (user, n) in enumerate(counts)]
+    rows = [(i, user, 1, True, datetime(2024, 1, 1).date(), Decimal(1), n, 0) for i, (user, n) in enumerate(counts)]
     schema = (
         "order_id long, user_id long, restaurant_id int, is_loyalty boolean, order_date date, "
-        "total_revenue double, line_count long, free_line_count long"
+        "total_revenue decimal(34,6), line_count long, free_line_count long"
     )
     return spark.createDataFrame(rows, schema)
 
