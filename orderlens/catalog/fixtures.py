@@ -29,10 +29,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(_schemas[path]).parquet(path)
 
 
-def parallel(df: DataFrame) -> DataFrame:
-    """Use all cores on a file that is a single split; leave larger scans alone."""
+def parallel(df: DataFrame, *keys: str) -> DataFrame:
+    """Use all cores on a file that is a single split; leave larger scans alone.
+
+    Spread by a hash of ``keys``: a round-robin would sort the rows first.
+    """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, *keys)
+
+
+def _lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return parallel(table(spark, sf_dir, "lineitem"), "l_orderkey", "l_partkey", "l_linenumber")
 
 
 def _line_id() -> Column:
@@ -64,7 +71,7 @@ def raw_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("p_partkey").alias("PART"), F.when(F.col("p_size") != 1, F.col("p_name")).alias("ITEM_NAME")
     )
     quantity = F.col("l_quantity")
-    lines = parallel(table(spark, sf_dir, "lineitem")).select(
+    lines = _lineitem(spark, sf_dir).select(
         F.col("l_orderkey").alias("ORDER_ID"),
         _line_id().alias("LINEITEM_ID"),
         F.col("l_partkey").alias("PART"),
@@ -83,7 +90,7 @@ def raw_order_item_options(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     second = F.struct((tax * 10).alias("OPTION_PRICE"), F.lit(1).alias("OPTION_QUANTITY"))
     return (
-        table(spark, sf_dir, "lineitem")
+        _lineitem(spark, sf_dir)
         .filter(F.col("l_linenumber") <= 5)
         .select(
             F.col("l_orderkey").alias("ORDER_ID"),
