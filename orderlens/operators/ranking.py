@@ -134,26 +134,33 @@ def lower_medians(
     are counted in row_count but do not take part in the median.
     """
     histogram = keep(df.groupBy(group, value).agg(F.count(F.lit(1)).alias("weight")), "histogram")
+    order = [F.col(value).asc_nulls_last()]
     known = F.sum(F.when(F.col(value).isNotNull(), F.col("weight")).otherwise(0))
-    groups = histogram.groupBy(group).agg(
-        F.sum("weight").alias("row_count"),
+
+    def middle(known_rows: Column) -> Column:
         # A group of nulls only has its null entry as the first position.
-        F.greatest(F.floor((known + 1) / 2), F.lit(1)).cast("long").alias("position"),
-        F.count(F.lit(1)).alias("entries"),
-    )
-    widest, entry_count = groups.agg(F.max("entries"), F.sum("entries")).first()
-    order = [F.col(value).asc_nulls_last()]
-    if (widest or 0) <= one_task_rows:
+        return F.greatest(F.floor((known_rows + 1) / 2), F.lit(1)).cast("long")
+
+    entry_count = histogram.count()
+    widest = entry_count
+    if entry_count > one_task_rows:
+        widest = histogram.groupBy(group).count().agg(F.max("count")).first()[0]
+    if widest <= one_task_rows:
         rows = Window.partitionBy(group)
-        last = F.sum("weight").over(rows.orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow))
-        total, nulls = F.sum("weight").over(rows), F.sum(F.when(F.col(value).isNull(), F.col("weight")).otherwise(0)).over(rows)
-        position = F.greatest(F.floor((total - nulls + 1) / 2), F.lit(1))
-        return (
-            histogram.select(group, value, "weight", last.alias("last"), total.alias("row_count"), position.alias("position"))
-            .filter((F.col("position") <= F.col("last")) & (F.col("position") > F.col("last") - F.col("weight")))
-            .select(group, F.col(value).alias("median"), "row_count")
+        so_far = rows.orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        numbered = histogram.withColumns(
+            {
+                "last": F.sum("weight").over(so_far),
+                "row_count": F.sum("weight").over(rows),
+                "position": middle(known.over(rows)),
+            }
         )
-    groups = keep(groups, "groups")
+        at_middle = (F.col("position") <= F.col("last")) & (F.col("position") > F.col("last") - F.col("weight"))
+        return numbered.filter(at_middle).select(group, F.col(value).alias("median"), "row_count")
+
+    groups = keep(
+        histogram.groupBy(group).agg(F.sum("weight").alias("row_count"), middle(known).alias("position")), "groups"
+    )
     found = at_positions(histogram, group, order, groups.select(group, "position"), entry_count, slice_rows)
     return found.join(groups.select(group, "row_count"), group).select(group, F.col(value).alias("median"), "row_count")
 
