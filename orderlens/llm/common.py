@@ -8,9 +8,12 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
+from orderlens.session import keep
+
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 MEMO_WORDS = 400_000
 
@@ -87,3 +90,21 @@ def windows(values: np.ndarray, offsets: list[int], factors: np.ndarray) -> np.n
     for offset, factor in zip(offsets, factors):
         total += values[offset : offset + len(total)] * factor
     return mix(total)
+
+
+def spread_join(
+    left: DataFrame, right: DataFrame, on: list[str], spread_by: str, how: str = "inner", hot_rows: int = 5_000, salts: int = 32
+) -> DataFrame:
+    """Join a stored ``left`` with ``right`` (at most one row per key), splitting hot keys of ``left`` over ``salts`` tasks.
+
+    A key is hot with ``hot_rows`` rows and a thousandth of all rows, so there are at
+    most a thousand, which are broadcast; their ``right`` rows are repeated once per salt.
+    """
+    least = max(hot_rows, left.count() // 1_000)
+    hot = left.groupBy(*on).count().filter(F.col("count") >= least).select(*on, F.lit(True).alias("_hot"))
+    hot = keep(hot, "hot-keys")
+    salt = F.when(F.col("_hot"), F.pmod(F.xxhash64(spread_by), F.lit(salts))).otherwise(F.lit(0)).alias("_salt")
+    every = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    salted = left.join(F.broadcast(hot), on, "left").select(*left.columns, salt.cast("int"))
+    copied = right.join(F.broadcast(hot), on, "left").select(*right.columns, F.explode(every).alias("_salt"))
+    return salted.join(copied, [*on, "_salt"], how).drop("_salt")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from orderlens.llm import chat, contamination, pieces, quality, secret_scan, token_counts, warc
+from orderlens.llm import chat, contamination, near_copies, pieces, quality, secret_scan, token_counts, warc
 from orderlens.llm.common import table
 
 PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
@@ -19,6 +19,10 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_copies.components(table(spark, sf_dir, "documents"))
+
+
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -50,6 +54,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str, model_path: str = PIECE_
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_quality": op2_quality,
+    "op3_near_dedup": op3_near_dedup,
     "op4_decontamination": op4_decontamination,
     "op5_chat": op5_chat,
     "op7_warc": op7_warc,
