@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orderlens.llm.common import WordHashes, map_rows, mix, odd_constants, rows_in, spread_join, windows
-from orderlens.llm.components import connected
+from orderlens.llm.merging import merged, shared_buckets
 from orderlens.session import keep
 
 SHINGLE = 5
@@ -145,15 +145,6 @@ def _keys(classes: DataFrame) -> DataFrame:
     return classes.select("rep", "signature").mapInArrow(run, f"key long, rep {kind}")
 
 
-def _shared(keys: DataFrame) -> DataFrame:
-    """The rows of keys that more than one class has, with the bucket's leader and size.
-
-    Keys of one class alone, which are nearly all, go in the first aggregation.
-    """
-    leaders = keys.groupBy("key").agg(F.min("rep").alias("leader"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-    return keys.join(leaders, "key").select("key", "rep")
-
-
 def _sets(docs: DataFrame, reps: DataFrame) -> DataFrame:
     """(rep, digest, shingles) of the classes that share a bucket."""
     kind = docs.schema["doc_id"].dataType.simpleString()
@@ -172,7 +163,6 @@ def _sets(docs: DataFrame, reps: DataFrame) -> DataFrame:
 
 def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The stored pairs (a, b) whose full sets are similar enough."""
-    pairs = keep(pairs, "pairs")
     half = spread_join(pairs, sets.select(F.col("rep").alias("b"), F.col("shingles").alias("_b")), ["b"], "a")
     both = half.join(sets.select(F.col("rep").alias("a"), F.col("shingles").alias("_a")), "a")
     shared = F.size(F.array_intersect("_a", "_b"))
@@ -180,23 +170,9 @@ def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return both.filter(100 * shared >= PERCENT * union).select("a", "b")
 
 
-def _leading_pairs(buckets: DataFrame, roots: DataFrame, number: int) -> DataFrame:
-    """Per class, the class of another component that leads most of its buckets: (a, b), b the leader."""
-    lead = F.min(F.struct(F.xxhash64("rep", F.lit(number)).alias("h"), "rep", "root")).alias("lead")
-    placed = buckets.join(roots, "rep")
-    leaders = placed.groupBy("key").agg(lead, F.min("root").alias("low"), F.max("root").alias("high"))
-    leaders = leaders.filter("low != high").select("key", "lead")
-    votes = placed.join(leaders, "key").filter("root != lead.root").groupBy("rep", F.col("lead.rep").alias("b")).count()
-    best = votes.groupBy(F.col("rep").alias("a")).agg(F.max(F.struct("count", "b")).alias("best"))
-    return best.select("a", "best.b")
-
-
-def _remaining_pairs(buckets: DataFrame, roots: DataFrame, classes: DataFrame) -> DataFrame:
-    """All (a, b), a < b, of different components that share a bucket and lie within the distance."""
-    placed = buckets.join(roots, "rep")
-    open_keys = placed.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low != high")
-    left = placed.join(open_keys.select("key"), "key").join(classes.select("rep", "signature"), "rep")
-    kind = buckets.schema["rep"].dataType.simpleString()
+def near_pairs(left: DataFrame) -> DataFrame:
+    """All (a, b), a < b, of different components and within the distance, from rows (key, rep, root, signature)."""
+    kind = left.schema["rep"].dataType.simpleString()
     pair_ddl = f"a {kind}, b {kind}"
     found, level = [], 0
     rows = keep(left.select("key", "rep", "root", "signature"), "open-buckets")
@@ -256,15 +232,6 @@ def _near(batches: Iterator[pa.RecordBatch], block: int = 256):
                         yield a, b
 
 
-def _merge(roots: DataFrame, links: DataFrame) -> DataFrame:
-    """(rep, root) after the links (a, b) between classes."""
-    ends = links.join(roots.select(F.col("rep").alias("a"), F.col("root").alias("u")), "a")
-    ends = ends.join(roots.select(F.col("rep").alias("b"), F.col("root").alias("v")), "b").filter("u != v")
-    moved = connected(ends.select("u", "v").distinct(), "u", "v")
-    joined = roots.join(moved, roots["root"] == moved["node"], "left")
-    return keep(joined.select("rep", F.coalesce(moved["root"], roots["root"]).alias("root")), "roots")
-
-
 def components(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of every document."""
     rows = keep(documents_of(described(docs)), "described")
@@ -273,27 +240,11 @@ def components(docs: DataFrame) -> DataFrame:
         F.min("doc_id").alias("rep"), F.first("signature").alias("signature"), F.count(F.lit(1)).alias("n")
     )
     classes = keep(classes, "classes")
-    buckets = keep(_shared(_keys(classes)), "buckets")
+    buckets = keep(shared_buckets(_keys(classes)), "buckets")
     members = buckets.select("rep").distinct()
-    roots = keep(members.select("rep", F.col("rep").alias("root")), "roots")
     sets = keep(_sets(docs, members.join(classes.select("rep", "digest"), "rep")), "sets")
-
-    tried, number = None, 0
-    while True:
-        pairs = _leading_pairs(buckets, roots, number)
-        if tried is not None:
-            pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        pairs = keep(pairs, "leading-pairs")
-        links = keep(confirmed(pairs, sets), "links")
-        tried = pairs if tried is None else tried.unionByName(pairs)
-        if links.isEmpty():
-            break
-        roots, number = _merge(roots, links), number + 1
-    ordered = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    rest = _remaining_pairs(buckets, roots, classes).join(ordered, ["a", "b"], "left_anti")
-    links = keep(confirmed(rest, sets), "links")
-    if not links.isEmpty():
-        roots = _merge(roots, links)
+    signed = classes.select("rep", "signature")
+    roots = merged(buckets, lambda pairs: confirmed(pairs, sets), lambda left: near_pairs(left.join(signed, "rep")))
 
     # Only classes of several documents or of a component with others differ from their own id.
     moved = classes.join(roots, "rep", "left").select("digest", "n", F.coalesce("root", "rep").alias("root"), "rep")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from orderlens.llm import chat, contamination, near_copies, pieces, quality, secret_scan, token_counts, warc
+from orderlens.llm import chat, contamination, near_copies, pieces, quality, secret_scan, spherical, token_counts, warc
 from orderlens.llm.common import table
 
 PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
@@ -47,6 +47,10 @@ def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.secret_spans(table(spark, sf_dir, "documents"))
 
 
+def op9_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spherical.near_copies(table(spark, sf_dir, "embeddings"))
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str, model_path: str = PIECE_MODEL) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), model_path)
 
@@ -59,6 +63,7 @@ QUERIES = {
     "op5_chat": op5_chat,
     "op7_warc": op7_warc,
     "op8_secrets": op8_secrets,
+    "op9_embeddings": op9_embeddings,
     "op10_token_counts": op10_token_counts,
 }
 
