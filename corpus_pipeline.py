@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderlens.llm import contamination, pieces, quality, secret_scan
+from orderlens.llm import contamination, near_copies, pieces, quality, secret_scan
 from orderlens.llm.common import table
 from orderlens.llm.queries import PIECE_MODEL
 from orderlens.session import keep
@@ -24,6 +24,11 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return kept.select(*docs.columns)
 
 
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies, that of the smallest id."""
+    return near_copies.drop_copies(docs)
+
+
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a passage of ``benchmark``."""
     return contamination.clean(docs, table(spark, sf_dir, "benchmark"))
@@ -42,6 +47,7 @@ def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 STAGES = [
     ("quality classifier", keep_quality),
+    ("MinHash near-dedup", drop_near_copies),
     ("benchmark decontamination", drop_leaks),
     ("secret scans", mask_secrets),
     ("SentencePiece encoding and decoding", encode_pieces),

@@ -97,8 +97,19 @@ def gumbel(doc_id, seed: int = SEED) -> float:
     return -math.log(-math.log(((bits >> 11) + 0.5) / 2**53))
 
 
+def names_of(columns: list[str]) -> tuple[str, str]:
+    """log_weight and gumbel_key, with underscores before them where ``columns`` has these names."""
+    found = []
+    for name in ("log_weight", "gumbel_key"):
+        while name in columns:
+            name = f"_{name}"
+        found.append(name)
+    return found[0], found[1]
+
+
 def score(docs: DataFrame, ratio: np.ndarray, columns: list[str]) -> DataFrame:
-    """The columns of ``docs`` with ``log_weight`` and ``gumbel_key``."""
+    """The columns of ``docs`` with its log weight and Gumbel key, named by ``names_of``."""
+    weight_name, key_name = names_of(columns)
     weights = docs.sparkSession.sparkContext.broadcast(ratio)
     own = "text" in columns
     doc_at, text_at = columns.index("doc_id"), columns.index("text") if own else len(columns)
@@ -114,18 +125,18 @@ def score(docs: DataFrame, ratio: np.ndarray, columns: list[str]) -> DataFrame:
                 keys.append(value + gumbel(doc))
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[: len(columns)], pa.array(found, pa.float64()), pa.array(keys, pa.float64())],
-                names=[*columns, "log_weight", "gumbel_key"],
+                names=[*columns, weight_name, key_name],
             )
 
-    schema = docs.select(*columns).schema.add("log_weight", "double").add("gumbel_key", "double")
+    schema = docs.select(*columns).schema.add(weight_name, "double").add(key_name, "double")
     return docs.select(*columns, *([] if own else ["text"])).mapInArrow(run, schema)
 
 
-def best_cut(scored: DataFrame, sample: DataFrame) -> float:
+def best_cut(scored: DataFrame, sample: DataFrame, weight: str = "log_weight") -> float:
     """The log weight that best separates held-out good from bad."""
     held = F.broadcast(sample.filter("held_out"))
     # At most MAX_LABELLED numbers, the documented bound of the sample.
-    rows = scored.join(held, "doc_id").groupBy("doc_id", "good").agg(F.min("log_weight").alias("w")).collect()
+    rows = scored.select("doc_id", weight).join(held, "doc_id").groupBy("doc_id", "good").agg(F.min(weight).alias("w")).collect()
     good = np.sort([r["w"] for r in rows if r["good"]])
     bad = np.sort([r["w"] for r in rows if not r["good"]])
     if not len(good):
@@ -175,14 +186,13 @@ def _largest_within(scored: DataFrame, key: str, low: float, high: float, k: int
 
 
 def resample(docs: DataFrame, labels: DataFrame, share: float | None = None, columns: list[str] | None = None) -> DataFrame:
-    """The kept documents: ``columns`` (doc_id alone by default) with log_weight and gumbel_key."""
+    """The kept documents: ``columns`` (doc_id among them, and alone by default) with log weight and Gumbel key."""
+    columns = columns or ["doc_id"]
+    weight, key = names_of(columns)
     sample = keep(labelled_sample(labels), "labelled")
-    ratio = fit(docs, sample)
-    scored = keep(score(docs, ratio, columns or ["doc_id"]), "scored")
+    scored = keep(score(docs, fit(docs, sample), columns), "scored")
     if share is None:
-        k = scored.filter(F.col("log_weight") >= best_cut(scored, sample)).count()
+        k = scored.filter(F.col(weight) >= best_cut(scored, sample, weight)).count()
     else:
         k = round(share * scored.count())
-    if k <= 0:
-        return scored.limit(0)
-    return scored.filter(F.col("gumbel_key") >= kth_largest(scored, "gumbel_key", k))
+    return scored.filter(F.col(key) >= kth_largest(scored, key, k)) if k > 0 else scored.limit(0)
