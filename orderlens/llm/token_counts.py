@@ -12,7 +12,10 @@ piece, and counts one piece per UTF-8 byte with byte fallback, else one per run.
 Where no piece crosses the start of a word and scores are whole numbers (so that
 sums are exact in any order), words are independent; each distinct word is
 segmented once and remembered. Otherwise the whole text is one segmentation.
-``single`` repeats the rounding of a tokenizer that keeps scores in 32 bits.
+Scores are doubles, as in the tokenizers library. ``single`` keeps them in 32 bits, as
+SentencePiece does; that agrees with it on vocabularies of ordinary scores, but scores near
+-1e9, which some files give to runs of spaces, leave no precision in 32 bits and the
+choice among them is then arbitrary.
 """
 
 from __future__ import annotations
@@ -74,13 +77,19 @@ class CountingViterbi:
         counts, open_run = [0] * size, [False] * size
         at, pieces, fallback = 0, self.pieces, self.model.byte_fallback
         best, best_from, best_known = 0.0, -1, True
+        cell = array("f" if self.single else "d", [0.0])
+
+        def kept(score: float) -> float:
+            """The score as the tokenizer keeps it; candidates are compared before they are rounded."""
+            cell[0] = score
+            return cell[0]
 
         def close() -> None:
             """Settle position ``at + 1``, whose known candidates have all been seen."""
             nonlocal at, best, best_from, best_known
             char = text[at]
             if char not in pieces:
-                score = scores[at % size] + self.unknown
+                score = kept(scores[at % size] + self.unknown)
                 if best_from < 0 or score > best:
                     best, best_from, best_known = score, at, False
             here, source = (at + 1) % size, best_from % size
@@ -100,7 +109,7 @@ class CountingViterbi:
                 start = end + 1 - length
                 score = scores[start % size] + piece_score
                 if best_from < 0 or score > best:
-                    best, best_from, best_known = score, start, True
+                    best, best_from, best_known = kept(score), start, True
         while at < len(text):
             close()
         return counts[at % size], scores[at % size]

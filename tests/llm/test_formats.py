@@ -1,0 +1,139 @@
+"""Chat examples and archives."""
+
+import hashlib
+
+import pytest
+from pyspark.sql import functions as F
+
+from orderlens.llm import chat, warc
+from orderlens.session import fresh_dir
+
+TURNS = [
+    (1, 0, "system", "Be <b>brief</b>"), (1, 1, "user", "Hi \\ </turn> <turn>x"), (1, 2, "assistant", "\\l</turn>\n<turn>assistant\nno"),
+    (1, 3, "user", None), (1, 4, "assistant", ""), (2, 0, "user", "only"), (None, 0, "assistant", "a"), (None, 0, "assistant", "a"),
+    (3, None, None, "null role"), (3, 5, "assi\nstant", "odd role \\n"), (4, 0, "assistant", "é" * 5), (4, 1, "user", "after"),
+]
+
+
+def table(spark, rows):
+    return spark.createDataFrame([(*r, 0) for r in rows], "conv_id long, turn long, role string, text string, position int")
+
+
+def expected(rows):
+    result = {}
+    for conv in {r[0] for r in rows}:
+        own = sorted((r for r in rows if r[0] == conv), key=lambda r: (r[1] is not None, r[1] or 0, r[2] or "", r[3] or ""))
+        said = "".join(f"{r[2] or ''}\n{r[3] or ''}\n" for r in own)
+        loss = "".join(r[3] or "" for r in own if r[2] == "assistant")
+        result[conv] = (len(own), hashlib.sha256(said.encode()).hexdigest(), len(loss), hashlib.sha256(loss.encode()).hexdigest())
+    return result
+
+
+@pytest.mark.parametrize("partitions", [1, 6])
+def test_read_back(spark, partitions):
+    rows = TURNS + [(50, i, "user" if i % 2 == 0 else "assistant", f"text {i} <turn>") for i in range(300)]
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    try:
+        parts = chat.segments(table(spark, rows).repartition(5))
+        found = {r.conv_id: r for r in chat.read_back(parts).collect()}
+        starts = {}
+        for r in parts.orderBy("position").collect():
+            assert r.start == starts.get(r.conv_id, 0)
+            starts[r.conv_id] = r.start + len(r.segment)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", 4)
+    assert {c: tuple(r)[1:5] for c, r in found.items()} == expected(rows)
+    assert {c: r.formatted_chars for c, r in found.items()} == starts
+
+
+def test_examples_train_one_reply_after_all_earlier_turns(spark):
+    parts = chat.segments(table(spark, TURNS))
+    whole = {}
+    for r in parts.orderBy("position").collect():
+        whole[r.conv_id] = whole.get(r.conv_id, "") + r.segment
+    shown = chat.materialise(parts).collect()
+    assert len(shown) == sum(r[2] == "assistant" for r in TURNS) == chat.examples(parts).count()
+    for r in shown:
+        assert whole[r.conv_id].startswith(r.text)
+        assert r.text[r.loss_end :] == "</turn>\n"
+        reply = chat.unescaped(r.text[r.loss_start : r.loss_end])
+        assert ("assistant", reply) in {(t[2], t[3] or "") for t in TURNS if t[0] == r.conv_id}
+    texts = sorted(r.text for r in shown if r.conv_id == 1)
+    assert [chat.SEGMENT.sub("|", t) for t in texts] == ["|||", "|||||"]
+    assert [len(chat.SEGMENT.findall(t)) for t in texts] == [3, 5]
+
+
+def test_no_turns(spark):
+    assert chat.read_back(chat.segments(table(spark, TURNS).limit(0))).collect() == []
+
+
+PAGES = [
+    (1, "http://a/1", "<p>one</p>"), (2, "http://a/2", "<p>one</p>"), (3, None, None), (4, " ", ""), (5, "http://b/ x\ny", "é" * 10),
+    (6, "http://b/6", "big " * 300_000), (6, "http://b/6", "big " * 300_000), (None, "http://c", "<p>one</p>"), (7, "http://d", "\r\n\r\n"),
+    (8, "http://e", "WARC/1.1\r\n\r\n\n\nfiledesc://x"),
+]
+
+
+def pages(spark, rows=PAGES):
+    return spark.createDataFrame([(*r, 1) for r in rows], "page_id long, url string, html string, record_id int")
+
+
+@pytest.mark.parametrize("limit", [200, 4_000_000])
+def test_archives_round_trip(spark, limit):
+    arc_path, warc_path = fresh_dir(spark, "arc"), fresh_dir(spark, "warc")
+    warc.write_arcs(pages(spark).repartition(3), arc_path, limit)
+    light = warc.read_arcs(spark, arc_path)
+    assert light.count() == len(PAGES) == light.select("record_id").distinct().count()
+    warc.write_warcs(warc.to_warc(spark, arc_path), warc_path, limit)
+    rows = warc.read_warcs(spark, warc_path, with_payload=True).collect()
+    assert len(rows) == len(PAGES)
+    html = {p: (h or "").encode() for p, _, h in PAGES}
+    for r in rows:
+        payload = html[r.page_id]
+        assert r.payload_bytes == len(payload) and r.payload_digest == warc.sha1(payload)
+        assert (r.payload == payload) if r.record_type == "response" else r.payload is None
+    kinds = sorted((str(r.page_id), r.record_type, r.refers_to) for r in rows)
+    assert kinds == sorted(
+        [("1", "revisit", 2), ("2", "response", None), ("3", "revisit", 4), ("4", "response", None), ("5", "response", None),
+         ("6", "response", None), ("6", "revisit", 6), ("None", "revisit", 2), ("7", "response", None), ("8", "response", None)],
+        key=lambda k: (k[0], k[1]),
+    )
+    urls = {r.page_id: r.target_uri for r in rows}
+    assert urls[3] == "urn:page:3" and urls[5] == "http://b/%20x%0Ay"
+
+
+def test_short_payloads_are_not_shared(spark):
+    arc_path = fresh_dir(spark, "arc")
+    warc.write_arcs(pages(spark), arc_path)
+    found = warc.to_warc(spark, arc_path, min_bytes=11).filter("refers_id is not null")
+    assert [r.page_id for r in found.collect()] == [6]
+
+
+def test_both_arc_versions_are_read():
+    for version in (1, 2):
+        files = list(warc.arc_file("x", version, [(1, "http://u", "abc"), (2, "http://v", None)], 10_000))
+        records = [record for blob in files for record in warc.parse_arc(blob)]
+        assert [r[0]["url"] for r in records] == ["filedesc://x-00000.arc.gz", "http://u", "http://v"]
+        assert [warc.http_parts(r[1])[2] for r in records[1:]] == [b"abc", b""]
+        if version == 2:
+            blob = files[0]
+            offset = int(records[2][0]["offset"])
+            assert next(warc.members(blob[offset:])).startswith(b"http://v ")
+
+
+def test_malformed_archives_are_named():
+    good = next(warc.arc_file("x", 1, [(1, "http://u", "abc")], 10_000))
+    first, second = warc.members(good)
+    for bad in (second.replace(b"text/html", b"text html"), second.replace(b"http://u", b"http://u", 1)[:40]):
+        with pytest.raises(ValueError):
+            list(warc.parse_arc(warc.member(first) + warc.member(bad)))
+    with pytest.raises(ValueError):
+        list(warc.parse_arc(warc.member(b"http://u 0.0.0.0 20240101000000 text/html 0\n")))
+    with pytest.raises(ValueError):
+        list(warc.members(good[:-5]))
+
+
+def test_no_pages(spark):
+    arc_path, warc_path = warc.archive(pages(spark).limit(0))
+    assert warc.read_warcs(spark, warc_path).count() == 0
+    assert pages(spark).filter(F.lit(False)).count() == 0
