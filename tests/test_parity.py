@@ -4,6 +4,8 @@ import pytest
 from parity import connect, differences
 
 import __spark_entry__ as entry_module
+from orderlens.catalog.oracles import ORACLES
+from orderlens.catalog.queries import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -14,13 +16,17 @@ def duck(request):
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry_module.queries()) == set(entry_module.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
 
 
-@pytest.mark.parametrize("name", sorted(entry_module.queries()))
+def test_entry_registers_every_query():
+    assert set(QUERIES) <= set(entry_module.queries())
+    assert set(entry_module.oracle_sql()) <= set(entry_module.queries())
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, sf_dir, duck, name):
-    result = entry_module.queries()[name](spark, sf_dir)
-    assert differences(result, duck, entry_module.oracle_sql()[name]) == []
+    assert differences(QUERIES[name](spark, sf_dir), duck, ORACLES[name]) == []
 
 
 def test_entry_has_rows(spark):
