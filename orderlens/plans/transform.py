@@ -9,10 +9,11 @@ from orderlens.functions.columns import snake_lower
 from orderlens.functions.times import failure_counts, parse_dates, parse_timestamps, parsed_date, parsed_time
 from orderlens.schemas import LINE_KEY
 from orderlens.session import small_table
-from orderlens.sources.readers import drop_superseded, latest_snapshot, read_raw
+from orderlens.sources.readers import VERSION, drop_superseded, latest_snapshot, read_raw
 from orderlens.sources.sinks import write_observed
 
 CHECKS = "table string, rows long, unparseable long, missing long"
+NO_OPTIONS = "order_id long, lineitem_id string, option_price double, option_quantity int, dt date, batch long"
 
 
 def process_items(raw: DataFrame) -> DataFrame:
@@ -42,12 +43,12 @@ def transform(spark: SparkSession, raw_root: str, processed_root: str) -> DataFr
     is reported and does not stop the run.
     """
 
-    def raw(table: str) -> DataFrame:
-        return snake_lower(read_raw(spark, f"{raw_root}/{table}"))
+    def raw(table: str, empty: str | None = None) -> DataFrame:
+        return snake_lower(read_raw(spark, f"{raw_root}/{table}", empty))
 
-    run = ["dt", "batch"]
+    run = list(VERSION)
     items = drop_superseded(raw("order_items"), list(LINE_KEY)).drop(*run)
-    options = drop_superseded(raw("order_item_options"), list(LINE_KEY)).drop(*run)
+    options = drop_superseded(raw("order_item_options", NO_OPTIONS), list(LINE_KEY)).drop(*run)
     dates = latest_snapshot(raw("date_dim")).drop(*run)
 
     seen = {

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -58,17 +60,42 @@ def fresh_dir(spark: SparkSession, label: str) -> str:
     return f"{shared_root(spark)}/orderlens/{label}-{uuid.uuid4().hex}"
 
 
+_scratch: list[list[str]] = []
+
+
 def keep(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once as a columnar table and return the table.
 
     Cuts the lineage, survives lost executors, and lets every later reader
-    prune columns and see real sizes.
+    prune columns and see real sizes. Inside ``scratch`` it goes at the end of the block.
     """
     path = fresh_dir(df.sparkSession, label)
+    if _scratch:
+        _scratch[-1].append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder in whatever file system it lives."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Tables kept inside the block, and no others, are deleted when it ends.
+
+    For jobs whose results are written elsewhere: no frame that reads a kept table may be used afterwards.
+    """
+    _scratch.append([])
+    try:
+        yield
+    finally:
+        for path in _scratch.pop():
+            remove(spark, path)
+
+
 def small_table(spark: SparkSession, rows: list[tuple], ddl: str) -> DataFrame:
     """A few driver-side rows as a local relation, without Python workers."""
     schema = StructType.fromDDL(ddl)

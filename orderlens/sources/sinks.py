@@ -39,9 +39,9 @@ def overwrite_table(df: DataFrame, path: str) -> int:
 
 
 def write_raw(df: DataFrame, table_root: str, dt: str, batch: int, metrics: dict[str, Column] | None = None) -> dict:
-    """Add one increment under ``dt=<day>/batch=<mark it started from>``.
+    """Add one increment under ``dt=<day>/batch=<run number>``.
 
-    A run that is repeated from the same mark on the same day replaces its own
-    files, so a crash between the write and the new mark leaves no duplicates.
+    No run writes where another has written. What two runs have both read, after a
+    crash or through an overlap, is left to ``drop_superseded``.
     """
-    return write_observed(df, f"{table_root}/dt={dt}/batch={batch}", "overwrite", metrics)
+    return write_observed(df, f"{table_root}/dt={dt}/batch={batch}", "errorifexists", metrics)
