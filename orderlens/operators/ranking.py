@@ -17,9 +17,6 @@ from pyspark.sql import functions as F
 from orderlens.session import keep, small_table
 
 SLICE_ROWS = 2_000_000
-MAX_SLICES = 20_000
-# Up to this many counted rows one sorted task is the cheaper plan.
-ONE_TASK_ROWS = 1_000_000
 
 
 def at_positions(
@@ -34,13 +31,19 @@ def at_positions(
 
     An entry covers ``weight`` consecutive positions and ``(group, *order)`` is
     unique. ``wanted`` has (group, position). The slices are stored before they
-    are counted, because range bounds are sampled and must not be drawn twice.
+    are counted, because range bounds are sampled and must not be drawn twice; when the
+    sample was so poor that a slice has more than twice its rows, all are cut finer.
     """
-    slices = min(MAX_SLICES, max(1, math.ceil(entry_count / slice_rows)))
-    placed = keep(
-        entries.repartitionByRange(slices, F.col(group), *order).withColumn("slice", F.spark_partition_id()),
-        "placed",
-    )
+    slices = max(1, math.ceil(entry_count / slice_rows))
+    while True:
+        placed = keep(
+            entries.repartitionByRange(slices, F.col(group), *order).withColumn("slice", F.spark_partition_id()),
+            "placed",
+        )
+        fullest = placed.groupBy("slice").count().agg(F.max("count")).first()[0] or 0
+        if fullest <= 2 * slice_rows or slices >= entry_count:
+            break
+        slices = min(2 * slices, entry_count)
     from_start = (Window.unboundedPreceding, Window.currentRow)
     by_slice = Window.partitionBy(group).orderBy("slice").rowsBetween(*from_start)
     spans = (
@@ -80,22 +83,15 @@ def distributed_ntile(
     scores: dict[str, str],
     tie: str,
     buckets: int = 5,
-    one_task_rows: int = ONE_TASK_ROWS,
     slice_rows: int = SLICE_ROWS,
 ) -> DataFrame:
     """Add ``ntile(buckets)`` over all rows for each ``{output: measure}``.
 
     ``df`` is a stored table and ``tie`` is unique and never null in it, which
-    makes every order total. A large input is scored by comparing each row with
-    the last row of each bucket: no shuffle of whole rows, and only those few
-    rows reach the driver.
+    makes every order total. Rows are scored by comparing each with the last row of
+    each bucket: no shuffle of whole rows, and only those few rows reach the driver.
     """
     rows = df.count()
-    if rows <= one_task_rows:
-        return df.withColumns(
-            {out: F.ntile(buckets).over(Window.orderBy(_sortable(m), tie)) for out, m in scores.items()}
-        )
-
     measures = list(dict.fromkeys(scores.values()))
     pairs = [F.struct(F.lit(m).alias("measure"), _sortable(m).alias("value")) for m in measures]
     entries = df.select(F.explode(F.array(*pairs)).alias("e"), F.col(tie).alias("tie")).select(
@@ -123,14 +119,12 @@ def distributed_ntile(
     return df.withColumns({out: score(m) for out, m in scores.items()})
 
 
-def lower_medians(
-    df: DataFrame, group: str, value: str, one_task_rows: int = ONE_TASK_ROWS, slice_rows: int = SLICE_ROWS
-) -> DataFrame:
+def lower_medians(df: DataFrame, group: str, value: str, slice_rows: int = SLICE_ROWS) -> DataFrame:
     """(group, median, row_count): exact lower median of ``value`` per group.
 
     Each group is first folded to its distinct values, so a hot group with a few
-    hundred prices is as cheap as any other. Only when some group keeps more
-    distinct values than one task should sort are the values sliced. Null values
+    hundred prices is as cheap as any other; the folded values are sliced, so one with
+    very many is not sorted on one task either. Null values
     are counted in row_count but do not take part in the median.
     """
     histogram = keep(df.groupBy(group, value).agg(F.count(F.lit(1)).alias("weight")), "histogram")
@@ -141,45 +135,18 @@ def lower_medians(
         # A group of nulls only has its null entry as the first position.
         return F.greatest(F.floor((known_rows + 1) / 2), F.lit(1)).cast("long")
 
-    entry_count = histogram.count()
-    widest = entry_count
-    if entry_count > one_task_rows:
-        widest = histogram.groupBy(group).count().agg(F.max("count")).first()[0]
-    if widest <= one_task_rows:
-        rows = Window.partitionBy(group)
-        so_far = rows.orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        numbered = histogram.withColumns(
-            {
-                "last": F.sum("weight").over(so_far),
-                "row_count": F.sum("weight").over(rows),
-                "position": middle(known.over(rows)),
-            }
-        )
-        at_middle = (F.col("position") <= F.col("last")) & (F.col("position") > F.col("last") - F.col("weight"))
-        return numbered.filter(at_middle).select(group, F.col(value).alias("median"), "row_count")
-
     groups = keep(
         histogram.groupBy(group).agg(F.sum("weight").alias("row_count"), middle(known).alias("position")), "groups"
     )
-    found = at_positions(histogram, group, order, groups.select(group, "position"), entry_count, slice_rows)
+    found = at_positions(histogram, group, order, groups.select(group, "position"), histogram.count(), slice_rows)
     return found.join(groups.select(group, "row_count"), group).select(group, F.col(value).alias("median"), "row_count")
 
 
-# Distinct values an exact in-memory percentile may hold on one task.
-PERCENTILE_VALUES = 1_000_000
-
-
-def exact_percentiles(
-    df: DataFrame,
-    value: str,
-    fractions: list[float],
-    max_values: int = PERCENTILE_VALUES,
-    slice_rows: int = SLICE_ROWS,
-) -> DataFrame:
+def exact_percentiles(df: DataFrame, value: str, fractions: list[float], slice_rows: int = SLICE_ROWS) -> DataFrame:
     """Rows (fraction, value): exact percentiles with linear interpolation.
 
     The rows are first reduced to a histogram, so a repeated value costs one
-    entry. A histogram too wide for one task is searched by position instead.
+    entry, and the histogram is searched by position.
     """
     histogram = keep(
         df.filter(F.col(value).isNotNull())
@@ -188,12 +155,8 @@ def exact_percentiles(
         "histogram",
     )
     distinct, rows = histogram.agg(F.count(F.lit(1)), F.coalesce(F.sum("weight"), F.lit(0))).first()
-    if distinct <= max_values:
-        points = F.array(*[F.lit(float(f)) for f in fractions])
-        return histogram.agg(F.percentile("value", points, F.col("weight")).alias("v")).select(
-            F.explode(F.arrays_zip(points.alias("fraction"), F.col("v").alias("value"))).alias("z")
-        ).select("z.fraction", "z.value")
-
+    if not rows:
+        return small_table(df.sparkSession, [(float(f), None) for f in fractions], "fraction double, value double")
     ranks = {f: f * (rows - 1) for f in fractions}
     positions = sorted({int(p) + 1 for r in ranks.values() for p in (math.floor(r), math.ceil(r))})
     wanted = small_table(df.sparkSession, [("all", p) for p in positions], "measure string, position long")
