@@ -30,12 +30,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def parallel(df: DataFrame, *keys: str) -> DataFrame:
-    """Use all cores on a file that is a single split; leave larger scans alone.
+    """Spread rows by a hash of ``keys``, so that a file of one split feeds all cores.
 
-    Spread by a hash of ``keys``: a round-robin would sort the rows first.
+    A round-robin would sort the rows first.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, *keys)
+    return df.repartition(*keys)
 
 
 def _lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -82,7 +81,7 @@ def raw_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_order_item_options(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two options per line at most: one from its discount, one from its tax."""
+    """Two options per line at most, one from its discount and one from its tax; a zero gives none."""
     tax = F.abs("l_tax")
     first = F.struct(
         (F.abs("l_discount") * 10).alias("OPTION_PRICE"),
@@ -91,11 +90,12 @@ def raw_order_item_options(spark: SparkSession, sf_dir: str) -> DataFrame:
     second = F.struct((tax * 10).alias("OPTION_PRICE"), F.lit(1).alias("OPTION_QUANTITY"))
     return (
         _lineitem(spark, sf_dir)
-        .filter(F.col("l_linenumber") <= 5)
         .select(
             F.col("l_orderkey").alias("ORDER_ID"),
             _line_id().alias("LINEITEM_ID"),
-            F.explode(F.when(F.col("l_tax") > 0, F.array(first, second)).otherwise(F.array(first))).alias("o"),
+            F.explode(
+                F.filter(F.array(F.when(F.col("l_discount") != 0, first), F.when(F.col("l_tax") > 0, second)), F.isnotnull)
+            ).alias("o"),
         )
         .select("ORDER_ID", "LINEITEM_ID", "o.OPTION_PRICE", "o.OPTION_QUANTITY")
     )

@@ -26,9 +26,9 @@ WITH raw_items AS (
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey),
 options AS (
   SELECT l_orderkey AS order_id, {LINE_ID} AS lineitem_id, abs(l_discount) * 10 AS option_price,
-    CAST(1 + l_linenumber % 2 AS INTEGER) AS option_quantity FROM lineitem WHERE l_linenumber <= 5
+    CAST(1 + l_linenumber % 2 AS INTEGER) AS option_quantity FROM lineitem WHERE l_discount <> 0
   UNION ALL
-  SELECT l_orderkey, {LINE_ID}, abs(l_tax) * 10, 1 FROM lineitem WHERE l_linenumber <= 5 AND l_tax > 0),
+  SELECT l_orderkey, {LINE_ID}, abs(l_tax) * 10, 1 FROM lineitem WHERE l_tax > 0),
 days AS (
   SELECT DISTINCT CAST(o_orderdate AS DATE) AS day FROM orders WHERE year(o_orderdate) = 1997),
 dim AS (
@@ -247,6 +247,11 @@ ORACLES: dict[str, str] = {
         "SELECT event_id, user_id, event_type, value, "
         "CASE WHEN event_type = 'error' THEN '2024-01-02' ELSE '2024-01-01' END AS dt FROM events"
     ),
+    "raw_partition_shuffled": (
+        "SELECT event_id, user_id, event_type, value, "
+        "CASE WHEN event_type = 'error' THEN '2024-01-02' ELSE '2024-01-01' END AS dt FROM events"
+    ),
+    "extract_overlap_backfill": q("SELECT order_id, lineitem_id, item_name FROM items"),
     "mart_write_roundtrip": q(SALES),
     "row_counts": q(
         "SELECT 'order_items' AS table_name, count(*) AS row_count FROM items UNION ALL "
@@ -278,6 +283,10 @@ ORACLES: dict[str, str] = {
         "SELECT order_id, lineitem_id, item_name, item_price, median_item_price, price_ratio "
         "FROM ratios WHERE price_ratio > 20"
     ),
+    "price_anomalies_shuffled": q(
+        "SELECT order_id, lineitem_id, item_name, item_price, median_item_price, price_ratio "
+        "FROM ratios WHERE price_ratio > 20"
+    ),
     "price_anomaly_kept": q("SELECT order_id, lineitem_id, item_name, item_price FROM clean"),
     "line_revenue": q(
         "SELECT order_id, lineitem_id, round(item_revenue, 6) AS item_revenue, "
@@ -501,5 +510,20 @@ ORACLES: dict[str, str] = {
         f"SELECT * FROM (SELECT 'unparseable' AS kind, creation_text AS sample FROM raw_items "
         f"WHERE {TEXT_TIME} IS NULL ORDER BY sample LIMIT 20)"
     ),
+    "dq_amounts": q(
+        report(
+            "total_revenue",
+            "lines",
+            [
+                ("rows", "count(*)", None),
+                ("null", "count(*) FILTER (total_revenue IS NULL)", None),
+                ("not_finite", "count(*) FILTER (NOT isfinite(total_revenue))", "{} = 0"),
+                ("out_of_range", "count(*) FILTER (isfinite(total_revenue) AND abs(total_revenue) >= 1e17)", "{} = 0"),
+                ("exact_total_differs",
+                 "CAST(abs(CAST(sum(amount) AS DOUBLE) - sum(total_revenue)) > 1e-9 * sum(abs(total_revenue)) "
+                 "+ 5e-7 * count(*) AS INTEGER)", "{} = 0"),
+            ],
+        )
+    ),
     "dq_price_signs": q(signs("item_price", "items") + " UNION ALL " + signs("option_price", "options")),
 }

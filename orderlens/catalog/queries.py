@@ -8,15 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderlens.catalog import fixtures as fx
-from orderlens.functions import times
 from orderlens.functions.calendar import with_calendar
 from orderlens.functions.columns import MONEY_SCALE, price_tier, snake_lower
 from orderlens.operators import accounts, lines, prices
 from orderlens.operators.ranking import SLICE_ROWS
 from orderlens.plans import marts, quality
 from orderlens.plans.base import SalesBase
-from orderlens.plans.run import run_marts
-from orderlens.plans.transform import transform
+from orderlens.plans.pipeline import load, run_pipeline
+from orderlens.plans.run import BUILDERS, run_marts
 from orderlens.session import fresh_dir, small_table
 from orderlens.sources import incremental as inc
 from orderlens.sources import marks, readers, sinks
@@ -26,6 +25,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 # Marks that split the driver's events and orders into an old and a new part.
 EVENT_MARK = "2024-01-16T00:00:00.000000Z"
 ORDER_MARK = "1998-06-30T12:00:00.000000Z"
+LAST_DAY = "1998-06-30T00:00:00"
 
 
 def _time_text(column: str):
@@ -76,16 +76,25 @@ def dim_snapshot_latest(spark, sf_dir):
     return readers.latest_snapshot(readers.read_raw(spark, root)).select("DATE_KEY", "IS_HOLIDAY", "HOLIDAY_NAME")
 
 
-def raw_partition_roundtrip(spark, sf_dir):
-    """Events stored as two increments; keys extracted twice count once."""
+def _repeated_keys(spark, sf_dir, **options):
     root = fresh_dir(spark, "raw-events")
     events = fx.table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "value")
     sinks.write_raw(events, root, "2024-01-01", 0)
     sinks.write_raw(events.filter(F.col("event_type") == "error"), root, "2024-01-02", 1)
-    kept = readers.drop_superseded(readers.read_raw(spark, root), ["event_id"])
+    kept = readers.drop_superseded(readers.read_raw(spark, root), ["event_id"], **options)
     return kept.select("event_id", "user_id", "event_type", "value", F.col("dt").cast("string").alias("dt"))
 
 
+def raw_partition_roundtrip(spark, sf_dir):
+    """Events stored as two increments; keys extracted twice count once."""
+    return _repeated_keys(spark, sf_dir)
+
+
+def raw_partition_shuffled(spark, sf_dir):
+    """The same by the plan of repeated keys that are too many to broadcast."""
+    return _repeated_keys(spark, sf_dir, max_broadcast_rows=0)
+
+
 def mart_write_roundtrip(spark, sf_dir):
     path = f"{fresh_dir(spark, 'marts')}/sales_trends"
     base = fx.sales_base(spark, sf_dir)
@@ -120,15 +129,31 @@ def staged_sales_trends(spark, sf_dir):
     root = fresh_dir(spark, "stages")
     items, options = fx.raw_order_items(spark, sf_dir), fx.raw_order_item_options(spark, sf_dir)
     dim = fx.raw_date_dim(spark, sf_dir)
-    early = items.filter(~(times.parsed_time("CREATION_TIME_UTC") > F.to_timestamp(F.lit(ORDER_MARK), marks.MARK_FORMAT)))
+    early = items.filter(F.col("CREATION_TIME_UTC") <= ORDER_MARK)
+    only = {"sales_trends": BUILDERS["sales_trends"]}
     for dt, available in (("2024-01-01", early), ("2024-01-02", items)):
-        inc.extract(spark, available, options, dim, f"{root}/raw", f"{root}/marks", dt)
-    transform(spark, f"{root}/raw", f"{root}/processed")
-    base = SalesBase(
-        *[spark.read.parquet(f"{root}/processed/{t}") for t in ("order_items", "order_item_options", "date_dim")],
-        threshold=fx.THRESHOLD,
+        run_pipeline(spark, available, options, dim, root, dt, threshold=fx.THRESHOLD, builders=only)
+    return spark.read.parquet(f"{root}/marts/sales_trends")
+
+
+def extract_overlap_backfill(spark, sf_dir):
+    """A base run, then on one day an overlap that finds late rows and an ordinary run; nothing is lost.
+
+    Late are the orders of odd number of the last day before the mark.
+    """
+    root = fresh_dir(spark, "backfill")
+    items, options = fx.raw_order_items(spark, sf_dir), fx.raw_order_item_options(spark, sf_dir)
+    dim = fx.raw_date_dim(spark, sf_dir)
+    until_mark, last_day = F.col("CREATION_TIME_UTC") <= ORDER_MARK, F.col("CREATION_TIME_UTC") >= LAST_DAY
+    late = until_mark & last_day & (F.col("ORDER_ID") % 2 == 1)
+    runs = (
+        ("2024-01-01", items.filter(until_mark & ~late), 0),
+        ("2024-01-02", items.filter(until_mark), 2 * 86_400),
+        ("2024-01-02", items, 0),
     )
-    return marts.sales_trends(base.slices, base.date_dim)
+    for dt, available, overlap in runs:
+        load(spark, available, options, dim, root, dt, overlap_seconds=overlap)
+    return spark.read.parquet(f"{root}/processed/order_items").select("order_id", "lineitem_id", "item_name")
 
 
 # --- projections and parsing ------------------------------------------------
@@ -181,6 +206,12 @@ def price_anomalies(spark, sf_dir):
     return found.select("order_id", "lineitem_id", "item_name", "item_price", "median_item_price", "price_ratio")
 
 
+def price_anomalies_shuffled(spark, sf_dir):
+    """The same by the plan of medians that are too many to broadcast."""
+    found = prices.price_anomalies(fx.order_items(spark, sf_dir), max_broadcast_rows=0)
+    return found.select("order_id", "lineitem_id", "item_name", "item_price", "median_item_price", "price_ratio")
+
+
 def price_anomaly_kept(spark, sf_dir):
     kept = prices.plausible_prices(fx.order_items(spark, sf_dir))
     return kept.select("order_id", "lineitem_id", "item_name", "item_price")
@@ -219,9 +250,9 @@ def rfm_scores(spark, sf_dir):
 
 
 def rfm_scores_distributed(spark, sf_dir):
-    """The same scores by the plan that large customer tables get."""
+    """The same scores over many slices, as large customer tables have."""
     customers = fx.sales_base(spark, sf_dir).customers
-    scored = marts.rfm_scores(customers, one_task_rows=0, slice_rows=min(SLICE_ROWS, customers.count() // 4 + 1))
+    scored = marts.rfm_scores(customers, slice_rows=min(SLICE_ROWS, customers.count() // 4 + 1))
     return scored.select("user_id", "recency_score", "frequency_score", "monetary_score")
 
 
@@ -249,9 +280,7 @@ def location_performance(spark, sf_dir):
 
 
 def price_tier_mart(spark, sf_dir):
-    base = fx.sales_base(spark, sf_dir)
-    base.store_lines = True
-    return marts.price_tiers(base.lines)
+    return marts.price_tiers(fx.sales_base(spark, sf_dir).slices)
 
 
 def free_item_orders(spark, sf_dir):
@@ -260,8 +289,8 @@ def free_item_orders(spark, sf_dir):
 
 def orders_without_free_item(spark, sf_dir):
     base = fx.sales_base(spark, sf_dir)
-    base.store_lines = True
-    return marts.orders_without_free_item(base.lines, marts.free_item_orders(base.lines))
+    free = base.slices.filter("free_line_count > 0").select("order_id").distinct()
+    return marts.orders_without_free_item(base.slices, free)
 
 
 def free_item_order_value(spark, sf_dir):
@@ -276,6 +305,11 @@ def mart_run_status(spark, sf_dir):
 # --- data quality --------------------------------------------------------------
 
 
+def _rounded(df: DataFrame, *columns: str) -> DataFrame:
+    """Numbers rounded for the comparison with SQL; the library gives them as they are."""
+    return df.withColumns({c: F.round(c, MONEY_SCALE) for c in columns or ("value",)})
+
+
 def _sales(base: SalesBase) -> DataFrame:
     return marts.sales_trends(base.slices, base.date_dim)
 
@@ -306,7 +340,7 @@ def dq_clv_monotonic(spark, sf_dir):
 
 
 def dq_flag_consistency(spark, sf_dir):
-    return quality.flag_consistency(fx.order_items(spark, sf_dir))
+    return _rounded(quality.flag_consistency(fx.order_items(spark, sf_dir)))
 
 
 def dq_flag_counts(spark, sf_dir):
@@ -314,7 +348,7 @@ def dq_flag_counts(spark, sf_dir):
 
 
 def dq_flag_share_stats(spark, sf_dir):
-    return quality.flag_share_stats(quality.inconsistent_customers(fx.order_items(spark, sf_dir)))
+    return _rounded(quality.flag_share_stats(quality.inconsistent_customers(fx.order_items(spark, sf_dir))))
 
 
 def dq_flag_rollout(spark, sf_dir):
@@ -324,7 +358,7 @@ def dq_flag_rollout(spark, sf_dir):
         "customer_segments_rfm": marts.rfm_segments(base.customers),
         "churn_risk": marts.churn_risk(base.customers),
     }
-    return quality.flag_rollout(customer_marts, base.flagged, base.flagged.count())
+    return quality.flag_rollout(customer_marts, base.flagged)
 
 
 def dq_top_customers(spark, sf_dir):
@@ -332,23 +366,23 @@ def dq_top_customers(spark, sf_dir):
 
 
 def dq_concentration(spark, sf_dir):
-    return quality.concentration(fx.sales_base(spark, sf_dir).customer_lines)
+    return _rounded(quality.concentration(fx.sales_base(spark, sf_dir).customer_lines))
 
 
 def dq_percentiles(spark, sf_dir):
-    return quality.volume_percentiles(fx.sales_base(spark, sf_dir).customer_lines)
+    return _rounded(quality.volume_percentiles(fx.sales_base(spark, sf_dir).customer_lines), "percentile", "line_items")
 
 
 def dq_percentiles_distributed(spark, sf_dir):
-    """The same percentiles by the plan that wide histograms get."""
+    """The same percentiles over many slices, as wide histograms have."""
     volume = fx.sales_base(spark, sf_dir).customer_lines
     slice_rows = min(SLICE_ROWS, volume.count() // 100 + 1)
-    return quality.volume_percentiles(volume, max_values=0, slice_rows=slice_rows)
+    return _rounded(quality.volume_percentiles(volume, slice_rows=slice_rows), "percentile", "line_items")
 
 
 def dq_threshold_impact(spark, sf_dir):
     volume = fx.sales_base(spark, sf_dir).customer_lines
-    return quality.threshold_impact(volume, (20, 40, 60, 80))
+    return _rounded(quality.threshold_impact(volume, (20, 40, 60, 80)), "pct_customers", "pct_line_items")
 
 
 def dq_reconcile_loyalty(spark, sf_dir):
@@ -384,7 +418,11 @@ def dq_timestamp_samples(spark, sf_dir):
 
 
 def dq_price_signs(spark, sf_dir):
-    return quality.price_signs(fx.order_items(spark, sf_dir), fx.order_item_options(spark, sf_dir))
+    return _rounded(quality.price_signs(fx.order_items(spark, sf_dir), fx.order_item_options(spark, sf_dir)))
+
+
+def dq_amounts(spark, sf_dir):
+    return quality.amounts(fx.sales_base(spark, sf_dir).lines)
 
 
 QUERIES: dict[str, Query] = {
@@ -401,6 +439,7 @@ QUERIES: dict[str, Query] = {
         dq_clv_monotonic, dq_flag_consistency, dq_flag_counts, dq_flag_share_stats, dq_flag_rollout,
         dq_top_customers, dq_concentration, dq_percentiles, dq_percentiles_distributed, dq_threshold_impact,
         dq_reconcile_loyalty, dq_reconcile_location, dq_top_flagged_locations, dq_churn, dq_churn_medians,
-        dq_timestamp_format, dq_timestamp_samples, dq_price_signs,
+        dq_timestamp_format, dq_timestamp_samples, dq_price_signs, dq_amounts, extract_overlap_backfill,
+        raw_partition_shuffled, price_anomalies_shuffled,
     )
 }

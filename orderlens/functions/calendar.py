@@ -7,16 +7,21 @@ from pyspark.sql import functions as F
 
 
 def one_row_per_day(dim: DataFrame) -> DataFrame:
-    """Holiday facts, one row per day.
+    """Holiday facts, one row per day; the flag may be a boolean or 0/1.
 
+    Repeated equal rows count once; a day with two different rows stops the job by name.
     At most one row per calendar day can leave this, whatever the size of the
     dimension, and that is what makes it safe to broadcast.
     """
-    return (
+    facts = F.struct(F.col("is_holiday").cast("boolean").alias("is_holiday"), "holiday_name")
+    days = (
         dim.filter(F.col("date_key").isNotNull())
         .groupBy("date_key")
-        .agg(F.bool_or("is_holiday").alias("is_holiday"), F.max("holiday_name").alias("holiday_name"))
+        .agg(F.min(facts).alias("one"), F.max(facts).alias("other"))
     )
+    conflict = F.raise_error(F.concat(F.lit("the calendar has conflicting rows for "), F.col("date_key").cast("string")))
+    one = F.when(F.col("one").eqNullSafe(F.col("other")), F.col("one")).otherwise(conflict.cast(days.schema["one"].dataType))
+    return days.select("date_key", one.alias("one")).select("date_key", "one.is_holiday", "one.holiday_name")
 
 
 def with_calendar(df: DataFrame, date_col: str, dim: DataFrame, holiday_name: bool = False) -> DataFrame:

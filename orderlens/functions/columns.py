@@ -18,9 +18,25 @@ def snake_lower(df: DataFrame) -> DataFrame:
     return df.toDF(*[name.lower() for name in df.columns])
 
 
+# Beyond this an amount does not fit the decimal.
+LARGEST_AMOUNT = 1e17
+
+
+def usable_amount(value: str) -> Column:
+    """False for an amount that is not a number, infinite or beyond all reason; null for null."""
+    return ~F.isnan(value) & (F.abs(value) < LARGEST_AMOUNT)
+
+
 def amount(value: str) -> Column:
-    """A double amount of money as an exact decimal."""
-    return F.col(value).cast(AMOUNT)
+    """A double amount of money as an exact decimal.
+
+    An amount that has none stops the job by name, so it cannot vanish from a total;
+    the report ``quality.amounts`` counts such lines. Null stays null.
+    """
+    bad = F.concat(F.lit(f"{value} is not a usable amount: "), F.col(value).cast("string"))
+    return F.when(usable_amount(value) | F.col(value).isNull(), F.col(value).cast(AMOUNT)).otherwise(
+        F.raise_error(bad).cast(AMOUNT)
+    )
 
 
 def money(total: Column) -> Column:

@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderlens.functions.columns import TOTAL, amount
+from orderlens.functions.columns import TOTAL, amount, price_tier
 from orderlens.schemas import LINE_KEY
 
-# One row per order wherever these attributes are constant within an order;
-# where they are not, totals and distinct counts stay exact all the same.
-SLICE_KEYS = ("order_id", "user_id", "restaurant_id", "is_loyalty", "order_date")
+# One row per order and price tier wherever the other attributes are constant within
+# an order; where they are not, totals and distinct counts stay exact all the same.
+SLICE_KEYS = ("order_id", "user_id", "restaurant_id", "is_loyalty", "order_date", "price_tier")
 
 
 def line_revenue(items: DataFrame, options: DataFrame) -> DataFrame:
@@ -40,7 +40,7 @@ def order_slices(lines: DataFrame) -> DataFrame:
 
     ``total_revenue`` is an exact decimal from here until a mart shows it.
     """
-    return lines.groupBy(*SLICE_KEYS).agg(
+    return lines.withColumn("price_tier", price_tier()).groupBy(*SLICE_KEYS).agg(
         F.sum(amount("total_revenue")).cast(TOTAL).alias("total_revenue"),
         F.count(F.lit(1)).alias("line_count"),
         F.count_if(F.col("item_price") == 0).alias("free_line_count"),

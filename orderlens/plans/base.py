@@ -25,7 +25,6 @@ class SalesBase:
     date_dim: DataFrame
     price_ratio: float = MAX_PRICE_RATIO
     threshold: int = MAX_INDIVIDUAL_LINES
-    store_lines: bool = False
 
     def __post_init__(self):
         require_columns(self.items, ORDER_ITEMS, "order_items")
@@ -38,13 +37,12 @@ class SalesBase:
 
     @cached_property
     def lines(self) -> DataFrame:
-        """Clean lines with revenue; stored when several marts will read them."""
+        """Clean lines with revenue; the marts read their fold, ``slices``, which alone is stored."""
         wanted = [
             "order_id", "lineitem_id", "user_id", "restaurant_id", "is_loyalty",
             "order_date", "item_price", "total_revenue",
         ]
-        lines = with_order_date(line_revenue(self.clean_items, self.options)).select(*wanted)
-        return keep(lines, "lines") if self.store_lines else lines
+        return with_order_date(line_revenue(self.clean_items, self.options)).select(*wanted)
 
     @cached_property
     def slices(self) -> DataFrame:

@@ -6,9 +6,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from orderlens.functions.calendar import with_calendar
-from orderlens.functions.columns import TOTAL, amount, money, price_tier, ratio
+from orderlens.functions.columns import TOTAL, money, ratio
 from orderlens.operators.accounts import FLAG, MAX_INDIVIDUAL_LINES, with_account_flag
-from orderlens.operators.ranking import ONE_TASK_ROWS, distributed_ntile
+from orderlens.operators.ranking import distributed_ntile
 from orderlens.operators.totals import group_totals
 from orderlens.schemas import MARTS
 from orderlens.session import keep
@@ -81,13 +81,12 @@ def customer_base(slices: DataFrame, threshold: int = MAX_INDIVIDUAL_LINES) -> D
     return keep(base, "customers")
 
 
-def rfm_scores(customers: DataFrame, one_task_rows: int = ONE_TASK_ROWS, **options) -> DataFrame:
+def rfm_scores(customers: DataFrame, **options) -> DataFrame:
     """Quintile scores, 5 is best; equal customers are ordered by user_id."""
     ranked = distributed_ntile(
         customers,
         {"_silence": "recency_days", "frequency_score": "frequency", "monetary_score": "monetary"},
         "user_id",
-        one_task_rows=one_task_rows,
         **options,
     )
     return ranked.withColumn("recency_score", 6 - F.col("_silence")).drop("_silence")
@@ -125,7 +124,7 @@ def churn_risk(
         .withColumns(
             {
                 "risk_tier": F.when(silence <= active, "Active").when(silence <= at_risk, "At Risk").otherwise("Churned"),
-                "is_overdue": F.when(usual_gap.isNull(), False).otherwise(silence > gaps * usual_gap),
+                "is_overdue": F.coalesce(silence > gaps * usual_gap, F.lit(False)),
             }
         )
         .select(*MARTS["churn_risk"])
@@ -173,15 +172,12 @@ def location_performance(slices: DataFrame, flagged: DataFrame, **options) -> Da
     ).select(*MARTS["location_performance"])
 
 
-def price_tiers(lines: DataFrame) -> DataFrame:
+def price_tiers(slices: DataFrame) -> DataFrame:
     """Totals per price tier; the data has no discount, so price points stand in."""
-    rows = lines.select(
-        price_tier().alias("price_tier"), "order_id", "user_id", amount("total_revenue").alias("total_revenue")
-    )
     return group_totals(
-        rows,
+        slices,
         ["price_tier"],
-        per_order={"line_item_count": F.count(F.lit(1))},
+        per_order={"line_item_count": F.sum("line_count")},
         per_group={"line_item_count": F.sum("line_item_count")},
     ).select(*MARTS["discount_effectiveness"])
 

@@ -12,9 +12,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from orderlens.functions.columns import MONEY_SCALE, TOTAL
+from orderlens.functions.columns import AMOUNT, TOTAL, usable_amount
 from orderlens.operators.accounts import FLAG
-from orderlens.operators.lookups import lookup_join
+from orderlens.operators.lookups import fits_broadcast
 from orderlens.operators.ranking import exact_percentiles
 from orderlens.plans.marts import OVERDUE_GAPS
 
@@ -93,22 +93,36 @@ def uncovered_dates(sales: DataFrame, k: int = 10) -> DataFrame:
     return sales.filter(F.col("is_holiday").isNull()).select("order_date").orderBy("order_date").limit(k)
 
 
-def account_profile(items: DataFrame, flagged: DataFrame) -> DataFrame:
-    """Spread of each flagged account over locations, apps, cards and days.
+def _ids(ids: DataFrame) -> DataFrame:
+    """Distinct account ids, broadcast where they were weighed and fit."""
+    ids = ids.select("user_id").filter(F.col("user_id").isNotNull()).distinct().withColumn("_known", F.lit(True))
+    return F.broadcast(ids) if fits_broadcast(ids) else ids
 
-    Rows are reduced to distinct combinations first; the four distinct counts
-    then see those, not the lines of the busiest accounts.
+
+def account_profile(items: DataFrame, ids: DataFrame) -> DataFrame:
+    """Spread of each account in ``ids`` (user_id) over locations, apps, cards and days.
+
+    Every line gives its distinct (account, attribute, value) entries, which are reduced
+    before the shuffle and spread by value; the counts see those, not the lines
+    of the busiest accounts.
     """
-    facts = ("restaurant_id", "app_name", "printed_card_number", "order_date")
-    own = lookup_join(items, flagged, "user_id", "slice_count", ["order_id", "lineitem_id"]).filter(F.col(FLAG))
-    combos = own.withColumn("order_date", F.to_date("creation_time_utc")).select("user_id", *facts).distinct()
-    return combos.groupBy("user_id").agg(
-        F.countDistinct("restaurant_id").alias("locations"),
-        F.countDistinct("app_name").alias("apps"),
-        F.countDistinct("printed_card_number").alias("cards"),
-        F.min("order_date").alias("first_order_date"),
-        F.max("order_date").alias("last_order_date"),
-        F.countDistinct("order_date").alias("order_days"),
+    facts = {
+        "locations": F.col("restaurant_id"), "apps": F.col("app_name"), "cards": F.col("printed_card_number"),
+        "order_days": F.to_date("creation_time_utc"),
+    }
+    entries = F.array(
+        *[F.struct(F.lit(name).alias("fact"), value.cast("string").alias("value")) for name, value in facts.items()]
+    )
+    own = items.join(_ids(ids), "user_id", "left_semi").select("user_id", F.explode(entries).alias("e"))
+    distinct = own.select("user_id", "e.fact", "e.value").distinct()
+    fact, value = F.col("fact"), F.col("value")
+    counts = {name: F.count(F.when(fact == name, value)) for name in facts}
+    day = F.when(fact == "order_days", value)
+    return distinct.groupBy("user_id").agg(
+        *[count.alias(name) for name, count in counts.items() if name != "order_days"],
+        F.min(day).cast("date").alias("first_order_date"),
+        F.max(day).cast("date").alias("last_order_date"),
+        counts["order_days"].alias("order_days"),
     )
 
 
@@ -182,7 +196,7 @@ def flag_consistency(items: DataFrame) -> DataFrame:
             ("customers", _rows(), None),
             ("consistent_customers", F.count_if(yes != no), None),
             ("inconsistent_customers", mixed, None),
-            ("inconsistent_pct", F.round(F.try_divide(mixed * 100.0, _rows()), 6), None),
+            ("inconsistent_pct", F.try_divide(mixed * 100.0, _rows()), None),
         ],
     )
     return known.unionByName(report(items, "loyalty_flag", [("rows", _rows(), None)]))
@@ -196,24 +210,26 @@ def flag_share_stats(mixed: DataFrame, **options) -> DataFrame:
         "loyalty_share",
         [
             ("count", F.count(share), None),
-            ("mean", F.round(F.avg(share), 6), None),
-            ("std", F.round(F.stddev_samp(share), 6), None),
-            ("min", F.round(F.min(share), 6), None),
-            ("max", F.round(F.max(share), 6), None),
+            ("mean", F.avg(share), None),
+            ("std", F.stddev_samp(share), None),
+            ("min", F.min(share), None),
+            ("max", F.max(share), None),
         ],
     )
     quartiles = exact_percentiles(mixed, "pct_loyalty", [0.25, 0.5, 0.75], **options).select(
         F.lit("loyalty_share").alias("check_name"),
         F.concat((F.col("fraction") * 100).cast("int").cast("string"), F.lit("%")).alias("metric"),
-        F.round("value", 6).alias("value"),
+        "value",
         F.lit(None).cast("boolean").alias("passed"),
     )
     return moments.unionByName(quartiles)
 
 
-def flag_rollout(marts: dict[str, DataFrame], flagged: DataFrame, expected: int) -> DataFrame:
-    """Each customer mart carries the flag, once per customer, for the known ids."""
-    parts = []
+def flag_rollout(marts: dict[str, DataFrame], ids: DataFrame) -> DataFrame:
+    """Each customer mart carries the flag, once per customer, for the accounts in ``ids`` (user_id)."""
+    parts, ids = [], ids.select("user_id").distinct()
+    expected = ids.count()
+    known_ids = _ids(ids)
     for name, mart in marts.items():
         present = FLAG in mart.columns
         shape = [("rows", _rows(), None), ("flag_present", F.lit(int(present)), lambda v: v == 1)]
@@ -224,8 +240,8 @@ def flag_rollout(marts: dict[str, DataFrame], flagged: DataFrame, expected: int)
             F.bool_or(FLAG).alias("mart_flag"), _rows().alias("mart_rows"),
             F.bool_and(FLAG).alias("always"),
         )
-        known = lookup_join(customers, flagged, "user_id", "slice_count", ["user_id"])
-        missed = F.coalesce(F.col(FLAG), F.lit(False)) & ~F.col("mart_flag")
+        known = customers.join(known_ids, "user_id", "left")
+        missed = F.coalesce(F.col("_known"), F.lit(False)) & ~F.col("mart_flag")
         parts.append(
             report(
                 known,
@@ -251,14 +267,14 @@ def concentration(volume: DataFrame, k: int = 10, **options) -> DataFrame:
     """Median and mean lines per customer, and the share the busiest hold."""
     total = volume.agg(F.sum("line_items")).scalar()
     top = top_customers(volume, k).agg(F.sum("line_items").alias("top"))
-    share = top.select(F.round(F.try_divide(F.col("top") * 100.0, total), 6).alias("share"))
+    share = top.select(F.try_divide(F.col("top") * 100.0, total).alias("share"))
     median = exact_percentiles(volume, "line_items", [0.5], **options)
     return _stack(
         [
             report(
                 volume,
                 "volume",
-                [("customers", _rows(), None), ("mean_line_items", F.round(F.avg("line_items"), 6), None)],
+                [("customers", _rows(), None), ("mean_line_items", F.avg("line_items"), None)],
             ),
             report(median, "volume", [("median_line_items", F.max("value"), None)]),
             report(share, "volume", [(f"top_{k}_share_pct", F.max("share"), None)]),
@@ -274,9 +290,7 @@ THRESHOLDS = (100, 200, 300, 500)
 def volume_percentiles(volume: DataFrame, percents=PERCENTS, **options) -> DataFrame:
     """Lines per customer at each percentile, linearly interpolated; 100 is the maximum."""
     found = exact_percentiles(volume, "line_items", [p / 100 for p in (*percents, 100)], **options)
-    return found.select(
-        F.round(F.col("fraction") * 100, 4).alias("percentile"), F.round("value", 6).alias("line_items")
-    )
+    return found.select((F.col("fraction") * 100).alias("percentile"), F.col("value").alias("line_items"))
 
 
 def threshold_impact(volume: DataFrame, thresholds=THRESHOLDS) -> DataFrame:
@@ -292,9 +306,9 @@ def threshold_impact(volume: DataFrame, thresholds=THRESHOLDS) -> DataFrame:
         F.struct(
             F.lit(t).cast("bigint").alias("threshold"),
             F.col(f"customers_{t}").alias("customers_above"),
-            F.round(F.try_divide(F.col(f"customers_{t}") * 100.0, F.col("customers")), 6).alias("pct_customers"),
+            F.try_divide(F.col(f"customers_{t}") * 100.0, F.col("customers")).alias("pct_customers"),
             F.col(f"lines_{t}").alias("line_items_above"),
-            F.round(F.try_divide(F.col(f"lines_{t}") * 100.0, F.col("lines")), 6).alias("pct_line_items"),
+            F.try_divide(F.col(f"lines_{t}") * 100.0, F.col("lines")).alias("pct_line_items"),
         )
         for t in thresholds
     ]
@@ -303,8 +317,8 @@ def threshold_impact(volume: DataFrame, thresholds=THRESHOLDS) -> DataFrame:
 
 def _reconciled(sales: DataFrame) -> list[tuple[str, Column, Rule | None]]:
     """Totals of a mart against the totals of the daily sales mart."""
-    revenue = sales.agg(_total_revenue()).scalar()
-    orders = sales.agg(F.sum("order_count")).scalar()
+    both = sales.agg(F.struct(_total_revenue().alias("revenue"), F.sum("order_count").alias("orders"))).scalar()
+    revenue, orders = both["revenue"], both["orders"]
     return [
         ("total_revenue", _total_revenue(), lambda v: F.abs(v - revenue) < REVENUE_TOLERANCE),
         ("total_orders", F.sum("order_count"), lambda v: v == orders),
@@ -447,8 +461,8 @@ def price_signs(items: DataFrame, options: DataFrame) -> DataFrame:
             df,
             column,
             [
-                ("min", F.round(F.min(price), MONEY_SCALE), None),
-                ("max", F.round(F.max(price), MONEY_SCALE), None),
+                ("min", F.min(price), None),
+                ("max", F.max(price), None),
                 ("negative", F.count_if(price < 0), zero),
                 ("zero", F.count_if(price == 0), None),
                 ("null", F.count_if(price.isNull()), None),
@@ -456,3 +470,26 @@ def price_signs(items: DataFrame, options: DataFrame) -> DataFrame:
         )
 
     return signs(items, "item_price").unionByName(signs(options, "option_price"))
+
+
+AMOUNT_TOLERANCE = 1e-9
+
+
+def amounts(lines: DataFrame, column: str = "total_revenue") -> DataFrame:
+    """Amounts that no exact total can hold, and the exact total against the plain sum of doubles."""
+    value, usable = F.col(column), usable_amount(column)
+    exact = F.sum(F.when(usable, value.cast(AMOUNT)).cast(TOTAL)).cast("double")
+    plain = F.sum(F.when(usable, value))
+    # Rounding each line to a millionth moves the total by half a millionth per line at most.
+    allowed = AMOUNT_TOLERANCE * F.sum(F.when(usable, F.abs(value))) + 5e-7 * _rows()
+    return report(
+        lines,
+        column,
+        [
+            ("rows", _rows(), None),
+            ("null", F.count_if(value.isNull()), None),
+            ("not_finite", F.count_if(F.isnan(value) | (F.abs(value) == float("inf"))), zero),
+            ("out_of_range", F.count_if(~usable & ~F.isnan(value) & (F.abs(value) < float("inf"))), zero),
+            ("exact_total_differs", F.coalesce((F.abs(exact - plain) > allowed).cast("int"), F.lit(0)), zero),
+        ],
+    )

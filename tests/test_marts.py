@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from conftest import plan_of
 from orderlens.catalog import fixtures as fx
 from orderlens.operators.accounts import flagged_accounts
+from orderlens.operators.lines import order_slices
 from orderlens.plans import marts
 from orderlens.session import keep
 
@@ -147,7 +148,8 @@ def test_free_item_effect(spark):
 def test_price_tiers(spark):
     rows = [(1, "a", 0.0, 1.0), (1, "a", 0.0, 1.0), (1, "a", 7.0, 7.0), (2, None, None, None)]
     lines = spark.createDataFrame(rows, "order_id long, user_id string, item_price double, total_revenue double")
-    found = {r.price_tier: tuple(r)[1:] for r in marts.price_tiers(lines).collect()}
+    lines = lines.select("*", *[F.lit(None).cast("string").alias(c) for c in ("restaurant_id", "is_loyalty", "order_date")])
+    found = {r.price_tier: tuple(r)[1:] for r in marts.price_tiers(order_slices(lines)).collect()}
     assert found == {"Free": (2.0, 2, 1, 1), "$5-$10": (7.0, 1, 1, 1), "$20+": (None, 1, 1, 0)}
 
 

@@ -9,6 +9,7 @@ from conftest import plan_of
 from orderlens.operators import lines, prices
 from orderlens.operators.accounts import flagged_accounts, non_individual_flag, with_account_flag
 from orderlens.operators.lookups import fits_broadcast, lookup_join
+from orderlens.plans import quality
 from orderlens.session import keep
 
 ITEMS = "order_id long, lineitem_id string, item_name string, item_price double"
@@ -30,7 +31,7 @@ def test_price_rule_bounds(spark, limit):
     assert kept.columns == df.columns
 
 
-@pytest.mark.parametrize("options", [{}, {"one_task_rows": 0, "slice_rows": 2}])
+@pytest.mark.parametrize("options", [{}, {"slice_rows": 2}])
 def test_medians_are_exact_and_lower(spark, options):
     rng = random.Random(5)
     rows = [("tea", p) for p in (4.0, 1.0, 3.0, 2.0, None)] + [(None, 9.0), ("unpriced", None), ("unpriced", None)]
@@ -82,6 +83,20 @@ def test_line_revenue(spark):
     }
 
 
+@pytest.mark.parametrize("value", [float("nan"), float("inf"), -1e19])
+def test_an_unusable_amount_stops_the_job_by_name_and_is_reported(spark, value):
+    rows = [(1, 2.0, 5.0), (1, 3.0, value), (1, 3.0, None)]
+    df = spark.createDataFrame(rows, "order_id long, item_price double, total_revenue double").select(
+        "*", *[F.lit(None).cast("string").alias(c) for c in ("user_id", "restaurant_id", "is_loyalty", "order_date")]
+    )
+    with pytest.raises(Exception, match="total_revenue is not a usable amount"):
+        lines.order_slices(df).collect()
+    found = {r.metric: (r.value, r.passed) for r in quality.amounts(df).collect()}
+    bad = "out_of_range" if value == -1e19 else "not_finite"
+    assert found[bad] == (1, False) and found["null"] == (1, None) and found["exact_total_differs"] == (0, True)
+    assert lines.order_slices(df.filter("total_revenue = 5")).agg(F.sum("total_revenue")).first()[0] == 5
+
+
 def slices_of(spark, counts):
     rows = [(i, user, 1, True, datetime(2024, 1, 1).date(), Decimal(1), n, 0) for i, (user, n) in enumerate(counts)]
     schema = (

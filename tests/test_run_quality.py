@@ -1,6 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from conftest import plan_of
 from orderlens.catalog import fixtures as fx
 from orderlens.plans import marts, quality
 from orderlens.plans.run import BUILDERS, MartsFailed, run_marts
@@ -70,6 +71,12 @@ def test_checks_pass_on_good_marts_and_fail_on_bad_ones(spark, sf_dir):
     assert metrics(quality.location_checks(half, sales))["total_orders"][1] is False
 
     missing = quality.flag_rollout(
-        {"churn_risk": churn.drop("is_likely_non_individual")}, base.flagged, base.flagged.count()
+        {"churn_risk": churn.drop("is_likely_non_individual")}, base.flagged
     )
     assert metrics(missing)["flag_present"] == (0, False)
+
+    ids = base.items.select("user_id").filter("user_id is not null").distinct().limit(2)
+    profile = quality.account_profile(base.items, ids)
+    assert "Expand" not in plan_of(profile) and profile.count() == 2
+    asked = quality.flag_rollout({"churn_risk": churn}, ids.union(ids))
+    assert metrics(asked)["customers"][0] == churn.count()
