@@ -517,11 +517,11 @@ ORACLES: dict[str, str] = {
             [
                 ("rows", "count(*)", None),
                 ("null", "count(*) FILTER (total_revenue IS NULL)", None),
-                ("not_finite", "count(*) FILTER (NOT isfinite(total_revenue))", "{} = 0"),
-                ("out_of_range", "count(*) FILTER (isfinite(total_revenue) AND abs(total_revenue) >= 1e17)", "{} = 0"),
+                ("not_finite", "count(*) FILTER (NOT isfinite(total_revenue))", ZERO),
+                ("out_of_range", "count(*) FILTER (isfinite(total_revenue) AND abs(total_revenue) >= 1e17)", ZERO),
                 ("exact_total_differs",
                  "CAST(abs(CAST(sum(amount) AS DOUBLE) - sum(total_revenue)) > 1e-9 * sum(abs(total_revenue)) "
-                 "+ 5e-7 * count(*) AS INTEGER)", "{} = 0"),
+                 "+ 5e-7 * count(*) AS INTEGER)", ZERO),
             ],
         )
     ),
