@@ -23,21 +23,21 @@ HEADLINE = (
 )
 
 
-def main() -> None:
+def main(queries=QUERIES, names=HEADLINE) -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cores = os.environ.get("BENCH_CPUS", "8")
     runs = int(os.environ.get("BENCH_RUNS", "2"))
     spark = local_session(
         "bench", cores, memory="16g", **{"spark.checkpoint.dir": tempfile.mkdtemp(prefix="bench-")}
     )
-    QUERIES["sales_trends"](spark, sf_dir).write.format("noop").mode("overwrite").save()  # warm up
+    queries["sales_trends"](spark, sf_dir).write.format("noop").mode("overwrite").save()  # warm up
 
     seconds = {}
-    for name in HEADLINE:
+    for name in names:
         taken = []
         for _ in range(runs):
             start = time.perf_counter()
-            QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+            queries[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
             taken.append(time.perf_counter() - start)
         seconds[name] = round(statistics.median(taken), 3)
     print(

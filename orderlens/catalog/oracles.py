@@ -449,8 +449,8 @@ ORACLES: dict[str, str] = {
             [
                 ("rows", "count(*)", "{v} <= 4"),
                 *RECONCILED,
-                ("flagged_customers", "sum(CASE WHEN is_likely_non_individual THEN distinct_customers ELSE 0 END)",
-                 "{v} <= 2 * (SELECT count(*) FROM volume WHERE flag)"),
+                ("most_flagged_customers", "max(CASE WHEN is_likely_non_individual THEN distinct_customers ELSE 0 END)",
+                 "{v} <= (SELECT count(*) FROM volume WHERE flag)"),
             ],
         )
     ),
