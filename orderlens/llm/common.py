@@ -103,7 +103,10 @@ def spread_join(
     least = max(hot_rows, left.count() // 1_000)
     hot = left.groupBy(*on).count().filter(F.col("count") >= least).select(*on, F.lit(True).alias("_hot"))
     hot = keep(hot, "hot-keys")
-    salt = F.when(F.col("_hot"), F.pmod(F.xxhash64(spread_by), F.lit(salts))).otherwise(F.lit(0)).alias("_salt")
+    spread = F.col("_hot")
+    for key in on:  # null keys match nothing and must not meet in one task either
+        spread = spread | F.col(key).isNull()
+    salt = F.when(spread, F.pmod(F.xxhash64(spread_by), F.lit(salts))).otherwise(F.lit(0)).alias("_salt")
     every = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
     salted = left.join(F.broadcast(hot), on, "left").select(*left.columns, salt.cast("int"))
     copied = right.join(F.broadcast(hot), on, "left").select(*right.columns, F.explode(every).alias("_salt"))
