@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from orderlens.llm.components import connected
 from orderlens.session import keep
 
+WORTHWHILE = 4
+
 
 def shared_buckets(keys: DataFrame) -> DataFrame:
     """The rows (key, rep) of keys that more than one item has."""
@@ -52,9 +54,9 @@ def merged(
 ) -> DataFrame:
     """(rep, root) of all items in ``buckets``, a stored table.
 
-    ``confirm`` keeps the linked ones of pairs (a, b). Rounds of leading pairs go on until one
-    links nothing; then ``rest`` names all pairs, of the rows of buckets
-    that are still open, which have to be confirmed.
+    ``confirm`` keeps the linked ones of pairs (a, b). Rounds of leading pairs merge the large groups
+    and go on while at least one in ``WORTHWHILE`` of their pairs is a link; then ``rest`` names all
+    pairs, of the rows of buckets that are still open, which have to be confirmed.
     """
     members = buckets.select("rep").distinct()
     roots = keep(members.select("rep", F.col("rep").alias("root")), "roots")
@@ -66,9 +68,11 @@ def merged(
         pairs = keep(pairs, "leading-pairs")
         links = keep(confirm(pairs), "links")
         tried = pairs if tried is None else tried.unionByName(pairs)
-        if links.isEmpty():
+        found, number = links.count(), number + 1
+        if found:
+            roots = merge(roots, links)
+        if found * WORTHWHILE <= pairs.count():
             break
-        roots, number = merge(roots, links), number + 1
     ordered = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     left = keep(rest(open_rows(buckets, roots)).join(ordered, ["a", "b"], "left_anti"), "remaining-pairs")
     links = keep(confirm(left), "links")
