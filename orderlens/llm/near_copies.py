@@ -11,9 +11,9 @@ the mean distance of two documents of similarity 0.75.
 
 Equal sets are one class before anything is compared. Components need no list of
 all pairs: in rounds, every class is compared with the one class that leads most of
-its buckets, links are merged, and buckets that lie in one component are done. When a round
-merges nothing, the pairs left in the remaining buckets that lie in different components
-and within the distance are compared, too. A bucket that is too wide for that is
+its buckets, links are merged, and buckets that lie in one component are done. When most pairs of
+a round are no links, all pairs of the remaining buckets that lie in different components
+and within the distance are compared. A bucket that is too wide for that is
 split by the keys of another chunking of the signature, which
 every pair within the distance shares as well, so no pair is lost. All links are
 confirmed on full sets: 100 * intersection >= 75 * union.
@@ -42,7 +42,7 @@ from orderlens.session import keep
 SHINGLE = 5
 PERCENT = 75
 SYMBOLS, CHUNK, MAX_DISTANCE = 48, 4, 26
-WIDE_BUCKET = 400
+WIDE_BUCKET = 5_000
 MAX_SPLITS = 4
 SLICE_SHINGLES = 200_000
 
@@ -197,16 +197,19 @@ def _split(rows: DataFrame, level: int) -> DataFrame:
     """Rows of wide buckets under finer keys, one per key of another chunking."""
     finer_by = np.uint64(3)
 
-    def run(batches: Iterator[pa.RecordBatch]):
-        for key, rep, root, signature in rows_in(batches, 64):
-            row = np.frombuffer(signature, np.int32).reshape(1, -1)
-            mixed = mix(keys_of(row, level)[0].view(np.uint64) * finer_by + np.array([key]).view(np.uint64))
-            for finer in mixed.view(np.int64).tolist():
-                yield finer, rep, root, signature
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, 1_000):
+                part = batch.slice(start, 1_000)
+                signs = np.frombuffer(b"".join(part.column(3).to_pylist()), np.int32).reshape(-1, SYMBOLS)
+                coarse = np.array(part.column(0)).view(np.uint64)[:, None]
+                finer = mix(keys_of(signs, level).view(np.uint64) * finer_by + coarse)
+                copies = part.take(pa.array(np.repeat(np.arange(len(signs)), finer.shape[1])))
+                yield pa.RecordBatch.from_arrays([pa.array(finer.view(np.int64).ravel()), *copies.columns[1:]], names=names)
 
+    names = ["key", "rep", "root", "signature"]
     ids = rows.schema["rep"].dataType.simpleString()
-    columns = rows.select("key", "rep", "root", "signature")
-    return map_rows(columns, run, f"key long, rep {ids}, root {ids}, signature binary")
+    return rows.select(names).mapInArrow(run, f"key long, rep {ids}, root {ids}, signature binary")
 
 
 def _near(batches: Iterator[pa.RecordBatch], block: int = 256):
