@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from orderlens.llm.components import connected
 from orderlens.session import keep
 
-WORTHWHILE = 4
+WORTHWHILE = 50
 
 
 def shared_buckets(keys: DataFrame) -> DataFrame:
