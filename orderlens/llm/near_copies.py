@@ -213,9 +213,12 @@ def _split(rows: DataFrame, level: int) -> DataFrame:
 
 
 def _near(batches: Iterator[pa.RecordBatch], block: int = 256):
-    """Pairs within the distance and of different components, bucket by bucket, in blocks."""
-    seen: set[tuple] = set()
-    for _, group in groupby(rows_in(batches), key=lambda r: r[0]):
+    """Pairs within the distance and of different components, bucket by bucket, in blocks.
+
+    A pair that shares several buckets is named in the one of the smallest key alone, which its
+    signatures tell; the keys of split buckets are others, and there it may be named again.
+    """
+    for key, group in groupby(rows_in(batches), key=lambda r: r[0]):
         rows = list(group)
         if len(rows) < 2:
             continue
@@ -226,12 +229,15 @@ def _near(batches: Iterator[pa.RecordBatch], block: int = 256):
                 one, other = slice(i, i + block), slice(j, j + block)
                 apart = (signs[one, None, :] != signs[None, other, :]).sum(2)
                 near = (apart <= MAX_DISTANCE) & (roots[one, None] != roots[None, other])
+                if i == j:
+                    near = np.triu(near, 1)
+                if not near.any():
+                    continue
+                keys, keys_other = keys_of(signs[one], 0), keys_of(signs[other], 0)
+                split = not (keys == key).any()
                 for x, y in zip(*np.nonzero(near)):
-                    a, b = sorted((reps[i + x], reps[j + y]))
-                    if (a, b) not in seen:
-                        if len(seen) > 200_000:
-                            seen.clear()
-                        seen.add((a, b))
+                    if split or keys[x][keys[x] == keys_other[y]].min() == key:
+                        a, b = sorted((reps[i + x], reps[j + y]))
                         yield a, b
 
 
