@@ -92,7 +92,7 @@ CUE = (
 )
 
 FAMILIES = list(NOTICES)
-FEATURES = 1 << 14
+FEATURES = 1 << 13
 COPIES = 40
 DROPPED_PERCENT = 8
 MAX_SAMPLED, MAX_PROSE = 500, 3_000
@@ -180,7 +180,7 @@ class LicenceModel:
 
     def __init__(self, docs: DataFrame):
         rows = keep(training_rows(docs), "licence-training")
-        shape = dict(featuresCol="features", labelCol="label", maxIter=60, standardization=False)
+        shape = dict(featuresCol="features", labelCol="label", maxIter=40, standardization=False)
         train = with_features(rows.filter("not held_out"))
         self.model = LogisticRegression(family="multinomial", regParam=5e-4, elasticNetParam=1.0, **shape).fit(train)
         held = _odds(self.model, with_features(rows.filter("held_out")))
