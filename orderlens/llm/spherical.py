@@ -189,22 +189,46 @@ def _units(rows: list[tuple], place: int) -> np.ndarray:
     return np.frombuffer(b"".join(r[place] for r in rows)).reshape(len(rows), -1)
 
 
+def packed(classes: DataFrame) -> DataFrame:
+    """(rep, packed, scale, error): unit vectors in a byte per component, with the length of what that leaves out."""
+    kind = classes.schema["rep"].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]):
+        for rep, vector in rows_in(batches):
+            values = np.frombuffer(vector)
+            scale = float(np.abs(values).max()) / 127
+            small = np.rint(values / scale).astype(np.int8)
+            yield rep, small.tobytes(), scale, float(np.linalg.norm(values - small * scale))
+
+    return map_rows(classes.select("rep", "unit"), run, f"rep {kind}, packed binary, scale double, error double")
+
+
 def near_pairs(rows: DataFrame) -> DataFrame:
-    """(a, b), a < b, of different components and of sufficient cosine, from rows (key, rep, root, unit)."""
+    """(a, b), a < b, of different components whose cosine may suffice, from rows (key, rep, root, packed, scale, error).
+
+    What packing leaves out bounds the error of a cosine, so no pair of sufficient cosine is missed.
+    """
     kind = rows.schema["rep"].dataType.simpleString()
     dealt = blocked(rows)
     names = dealt.columns
-    rep, root, vector = names.index("rep"), names.index("root"), names.index("unit")
+    rep, root, vector = names.index("rep"), names.index("root"), names.index("packed")
+    scale, error = names.index("scale"), names.index("error")
+
+    def unpacked(part: list[tuple]):
+        small = np.frombuffer(b"".join(r[vector] for r in part), np.int8).reshape(len(part), -1)
+        return small * np.array([r[scale] for r in part])[:, None], np.array([r[error] for r in part])
 
     def run(batches: Iterator[pa.RecordBatch]):
         for first, second, same in _block_pairs(batches, names):
             if not first or not second or same and len(first) < 2:
                 continue
-            near = _units(first, vector) @ _units(second, vector).T >= COSINE - 1e-9
-            for x, y in zip(*np.nonzero(near)):
-                one, other = first[x], second[y]
-                if one[root] != other[root] and (not same or x < y):
-                    yield min(one[rep], other[rep]), max(one[rep], other[rep])
+            one, one_error = unpacked(first)
+            other, other_error = (one, one_error) if same else unpacked(second)
+            slack = one_error[:, None] + (1 + one_error[:, None]) * other_error[None, :] + 1e-9
+            for x, y in zip(*np.nonzero(one @ other.T >= COSINE - slack)):
+                a, b = first[x], second[y]
+                if a[root] != b[root] and (not same or x < y):
+                    yield min(a[rep], b[rep]), max(a[rep], b[rep])
 
     return map_rows(dealt, run, f"a {kind}, b {kind}").distinct()
 
@@ -243,8 +267,9 @@ def near_copies(vectors: DataFrame) -> DataFrame:
     sizes = {r["dims"]: words_per_block(r["count"], r["dims"]) for r in classes.groupBy("dims").count().collect()}
     buckets = keep(shared_buckets(keep(filters(classes, sizes), "filters")), "buckets")
     units = classes.select("rep", "unit")
+    light = keep(packed(classes), "packed")
     roots = merged(
-        buckets, lambda pairs: confirmed(pairs, units), lambda left: near_pairs(left.join(units, "rep"))
+        buckets, lambda pairs: confirmed(pairs, units), lambda left: near_pairs(left.join(light, "rep"))
     )
     placed = classes.join(roots, "rep", "left").withColumn("key", F.coalesce("root", "rep"))
     several = roots.groupBy(F.col("root").alias("key")).count().filter("count > 1").select("key")
