@@ -39,7 +39,7 @@ ASSIGN = re.compile(
 ASSIGN_WORDS = ("passw", "secret", "token", "apikey", "api_key")
 ACCESS = re.compile(r"AKIA[A-Z0-9]{12,}")
 HEX = re.compile(r"[0-9a-f]{32,}")
-TOKEN = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{20,}")
+TOKEN = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}")
 
 LENGTH_CLASSES = (20, 32, 48, 80)
 FALSE_DISCOVERY = 1e-3

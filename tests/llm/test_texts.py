@@ -163,6 +163,23 @@ def test_randomness_battery_finds_random_tokens_and_leaves_words(documents):
             assert texts[i][int(a) : int(b)] == hidden[i]
 
 
+def test_random_tokens_after_any_mark(documents):
+    rng = random.Random(21)
+    alphabet = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    marks = ["access_key=", "access_key: ", "access_key:", "access_key='", 'access_key="', "https://a.b/c?x=", "https://a.b/c?x=1&sig=", "=="]
+    texts, hidden = [], []
+    for i in range(160):
+        hidden.append("".join(rng.choice(alphabet) for _ in range(40)))
+        texts.append(f"before {marks[i % len(marks)]}{hidden[i]}")
+    assert all(secret_scan.TOKEN.search(t) and secret_scan.TOKEN.findall(t)[-1] == h for t, h in zip(texts, hidden))
+    docs = documents(texts)
+    found = {r.doc_id: r.n_random for r in secret_scan.secret_spans(docs).collect()}
+    masked = {r.doc_id: r.text for r in secret_scan.redact(docs).collect()}
+    for k in range(len(marks)):
+        assert sum(found[i] for i in range(k, 160, len(marks))) >= 18, marks[k]
+        assert sum(hidden[i] not in masked[i] for i in range(k, 160, len(marks))) >= 18, marks[k]
+
+
 def test_step_up_on_the_histogram_equals_the_plain_one(documents):
     rng = random.Random(3)
     tokens = ["".join(rng.choice("0123456789abcdefghijklmnopqrstuvwxyz"[: rng.choice([14, 36])]) for _ in range(24)) for _ in range(300)]
