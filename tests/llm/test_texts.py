@@ -192,6 +192,20 @@ def test_step_up_on_the_histogram_equals_the_plain_one(documents):
         assert max(p for p in rounded if p <= 10 ** (-accepted[0] / 10) * 1.001) == max(passing)
 
 
+def test_copies_of_a_token_are_one_test(documents, monkeypatch):
+    rng = random.Random(22)
+    alphabet = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    hidden = ["".join(rng.choice(alphabet) for _ in range(24)) for _ in range(200)]
+    alone = secret_scan.thresholds(documents(hidden))
+    for memo in (secret_scan.MEMO_TOKENS, 2):
+        monkeypatch.setattr(secret_scan, "MEMO_TOKENS", memo)
+        copied = documents(hidden + ["Version1ReleaseCandidate2Notes " * 100] * 200)
+        assert secret_scan.thresholds(copied) == alone == secret_scan.thresholds(documents(hidden * 3))
+    rows = secret_scan.secret_spans(copied).collect()
+    assert sum(r.n_random for r in rows if r.doc_id < 200) >= 0.9 * len(hidden)
+    assert sum(r.n_random for r in rows if r.doc_id >= 200) == 0
+
+
 def test_secret_cases(documents):
     docs = documents([(1, None), (2, ""), (3, "token = abcdefgh12"), (3, "token = abcdefgh12"), (None, "x " * 200_000)], kind="int")
     rows = secret_scan.secret_spans(docs).collect()
