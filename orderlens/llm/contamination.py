@@ -4,16 +4,17 @@ A seed is a window of 12 tokens, cut into four blocks of three; a mask ignores t
 of the blocks. The six masks together survive any two substituted tokens in a window.
 Every masked window of the benchmark is hashed, every masked window of the
 documents is looked up, and around each hit the two texts are compared token by
-token along the same diagonal: the overlap grows in both directions over
-substitutions while it stays mostly equal, and must reach ``MIN_TOKENS`` tokens and
-``MIN_EQUAL`` equal ones.
+token along the same diagonal. An overlap is any stretch of it between equal tokens that
+has ``MIN_TOKENS`` tokens (or as many as the item) of which ``MIN_EQUAL`` are equal, or the
+whole item with that share, its first and last tokens substituted or not. Items shorter
+than a window are matched whole and exactly.
 
 Benchmark hashes travel in blocks of bounded size, one pass over the documents
 each, so nothing grows without bound; documents are never shuffled.
 
 Tokens are runs of letters and digits, lower-cased. Defined cases: null texts are
-empty; items or documents with fewer tokens than a window match nothing; a null
-item or document id stays null in the result; repeated rows repeat; an
+empty; items without tokens match nothing, items of one word every document with that
+word; a null item or document id stays null in the result; repeated rows repeat; an
 empty table on either side gives none. Other columns are not read.
 """
 
@@ -37,7 +38,7 @@ MASKS = [
     [p for p in range(WINDOW) if p // 3 in pair] for pair in ((0, 1), (0, 2), (0, 3), (1, 2), (1, 3), (2, 3))
 ]
 MIN_TOKENS = 13
-MIN_EQUAL = 0.8
+MIN_EQUAL = 4, 5  # so many of so many tokens
 ITEMS_PER_BLOCK_TOKENS = 400_000
 
 
@@ -59,15 +60,23 @@ def seed_hashes(tokens: np.ndarray) -> list[np.ndarray]:
     return result
 
 
+def whole_hashes(tokens: np.ndarray, length: int) -> np.ndarray:
+    """Hash of the ``length`` tokens from every start."""
+    return windows(tokens, list(range(length)), odd_constants(length, seed=6))
+
+
 class SeedIndex:
-    """Masked windows of a block of benchmark items."""
+    """Masked windows of a block of benchmark items, and whole items shorter than a window."""
 
     def __init__(self, items: list[tuple[object, str]]):
         hashes = WordHashes()
         self.ids = [i for i, _ in items]
         self.tokens = [token_hashes(t or "", hashes) for _, t in items]
         found = [[] for _ in MASKS]
+        short: dict[int, list] = {}
         for number, tokens in enumerate(self.tokens):
+            if 0 < len(tokens) < WINDOW:
+                short.setdefault(len(tokens), []).append((whole_hashes(tokens, len(tokens))[0], number))
             for mask, values in enumerate(seed_hashes(tokens)):
                 place = np.full(len(values), number, np.int64), np.arange(len(values), dtype=np.int64)
                 found[mask].append((values, *place))
@@ -76,6 +85,10 @@ class SeedIndex:
             columns = [np.concatenate(c) for c in zip(*parts)] if parts else [np.zeros(0, np.uint64)] * 3
             order = np.argsort(columns[0], kind="stable")
             self.masks.append([c[order] for c in columns])
+        self.short = {}
+        for length, pairs in short.items():
+            values, numbers = (np.array(c, kind) for c, kind in zip(zip(*sorted(pairs)), (np.uint64, np.int64)))
+            self.short[length] = values, numbers
         total = sum(len(m[0]) for m in self.masks)
         self.bits = np.uint64(max(16, int(total * 16).bit_length()))
         self.filter = np.zeros(1 << int(self.bits), bool)
@@ -93,27 +106,62 @@ class SeedIndex:
                 found.update(zip(numbers[a:b].tolist(), (at - starts[a:b]).tolist()))
         return found
 
+    def exact(self, tokens: np.ndarray) -> dict[int, int]:
+        """Number of each short item that occurs whole -> its first document position."""
+        found: dict[int, int] = {}
+        for length, (values, numbers) in self.short.items():
+            seen, first = np.unique(whole_hashes(tokens, length), return_index=True)
+            low, high = np.searchsorted(seen, values, "left"), np.searchsorted(seen, values, "right")
+            for number, at in zip(numbers[low < high].tolist(), first[low[low < high]].tolist()):
+                if (tokens[at : at + length] == self.tokens[number]).all():
+                    found[number] = at
+        return found
+
     def overlaps(self, tokens: np.ndarray) -> Iterator[tuple[object, int, int, int, int]]:
         """(item id, document start, item start, length, equal tokens): the best overlap per item."""
         best: dict[int, tuple] = {}
         for number, diagonal in self.diagonals(tokens):
             item = self.tokens[number]
             low, high = max(0, diagonal), min(len(tokens), diagonal + len(item))
-            start, end, same = best_segment(tokens[low:high] == item[low - diagonal : high - diagonal])
-            if end - start >= min(MIN_TOKENS, len(item)) and same >= MIN_EQUAL * (end - start):
+            equal = tokens[low:high] == item[low - diagonal : high - diagonal]
+            segment = best_segment(equal, min(MIN_TOKENS, len(item)))
+            if segment is None and len(equal) == len(item) and has_share(int(equal.sum()), len(item)):
+                segment = 0, len(item), int(equal.sum())
+            if segment is not None:
+                start, end, same = segment
                 found = (same, end - start, low + start, low + start - diagonal)
                 best[number] = max(best.get(number, found), found)
+        for number, start in self.exact(tokens).items():
+            length = len(self.tokens[number])
+            best[number] = length, length, start, 0
         for number, (same, length, start, item_start) in best.items():
             yield self.ids[number], start, item_start, length, same
 
 
-def best_segment(equal: np.ndarray) -> tuple[int, int, int]:
-    """(start, end, equal tokens) of the segment with the most equal tokens less two for each other one."""
-    total = np.concatenate([[0], np.cumsum(np.where(equal, 1, -2))])
-    lowest = np.minimum.accumulate(total)
-    end = int(np.argmax(total - lowest))
-    start = int(np.flatnonzero(total[: end + 1] == lowest[end])[-1])
-    return start, end, int(equal[start:end].sum())
+def has_share(same: int, length: int) -> bool:
+    part, whole = MIN_EQUAL
+    return same * whole >= length * part
+
+
+def best_segment(equal: np.ndarray, least: int) -> tuple[int, int, int] | None:
+    """(start, end, equal tokens) of the segment with the most equal tokens among those that have ``least`` tokens, a
+    share of ``MIN_EQUAL`` and an equal token at either end."""
+    part, whole = MIN_EQUAL
+    # A segment has the share if its sum of these is not negative.
+    total = np.concatenate([[0], np.cumsum(np.where(equal, whole - part, -part))])
+    count = np.concatenate([[0], np.cumsum(equal)])
+    places = np.flatnonzero(equal)
+    ends = places + 1
+    # Per end, the first start from which the share is reached, and from there the first equal token.
+    starts = np.searchsorted(-np.minimum.accumulate(total), -total[ends], "left")
+    starts = places[np.searchsorted(places, starts)]
+    long = ends - starts >= least
+    if not long.any():
+        return None
+    starts, ends = starts[long], ends[long]
+    best = int(np.argmax(count[ends] - count[starts]))
+    start, end = int(starts[best]), int(ends[best])
+    return start, end, int(count[end] - count[start])
 
 
 def blocks(benchmark: DataFrame, limit: int = ITEMS_PER_BLOCK_TOKENS) -> Iterator[list[tuple]]:

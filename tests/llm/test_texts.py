@@ -237,6 +237,55 @@ def test_overlaps_tolerate_substitutions(spark, documents):
     assert found[0].n_tokens == len(words) and found[0].doc_start == 2 and found[0].item_start == 0
 
 
+@pytest.mark.parametrize("length", range(12, 19))
+def test_short_items_with_substitutions_at_every_position(length):
+    words = [f"w{i}" for i in range(length)]
+    index, hashes = contamination.SeedIndex([(7, " ".join(words))]), contamination.WordHashes()
+    for places in [(), *((i,) for i in range(length)), *((i, j) for j in range(length) for i in range(j))]:
+        copy = ["zzz" if i in places else w for i, w in enumerate(words)]
+        for text in (copy, "some words before".split() + copy + "and some more after it".split()):
+            found = list(index.overlaps(contamination.token_hashes(" ".join(text), hashes)))
+            assert [(f[0], f[4]) for f in found] == [(7, length - len(places))], places
+            item, start, item_start, size, same = found[0]
+            assert start - item_start == (0 if text is copy else 3) and size <= length
+
+
+def test_substitutions_at_the_ends_count_for_whole_items_only():
+    words = [f"w{i}" for i in range(40)]
+    index, hashes = contamination.SeedIndex([(7, " ".join(words))]), contamination.WordHashes()
+    for size, want in ((12, []), (13, [(7, 3, 10, 13, 13)])):
+        text = ["zzz"] * 3 + words[10 : 10 + size] + ["zzz"] * 3
+        assert list(index.overlaps(contamination.token_hashes(" ".join(text), hashes))) == want
+
+
+def test_best_segment_equals_brute_force():
+    import numpy as np
+
+    rng = random.Random(23)
+    for _ in range(2_000):
+        equal = np.array([rng.random() < rng.choice([0.6, 0.8, 0.95]) for _ in range(rng.randint(1, 30))])
+        least = rng.randint(1, 13)
+        fits = [
+            (a, b, int(equal[a:b].sum()))
+            for a in range(len(equal)) for b in range(a + least, len(equal) + 1)
+            if equal[a] and equal[b - 1] and 5 * equal[a:b].sum() >= 4 * (b - a)
+        ]
+        found = contamination.best_segment(equal, least)
+        assert (found is None) == (not fits)
+        assert not fits or found in fits and found[2] == max(f[2] for f in fits)
+
+
+def test_items_shorter_than_a_window_match_exactly(spark, documents):
+    items = [(n, " ".join(f"w{i}" for i in range(n))) for n in range(1, 12)] + [(20, "..."), (21, None)]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    whole = [(n, f"before it {text} after") for n, text in items[:11]]
+    docs = documents(whole + [(30, "w1 w0 zzz"), (31, ""), (32, None), (33, "w0x w1")])
+    found = {(r.doc_id, r.item_id): tuple(r)[2:] for r in contamination.contaminated(docs, benchmark).collect()}
+    assert {k: v for k, v in found.items() if k[0] < 30} == {(d, i): (2, 0, i, i) for d in range(1, 12) for i in range(1, d + 1)}
+    assert {k for k in found if k[0] >= 30} == {(30, 1)}
+    assert {r.doc_id for r in contamination.clean(docs, benchmark).collect()} == {31, 32, 33}
+
+
 def test_seed_hits_equal_brute_force():
     import numpy as np
 
