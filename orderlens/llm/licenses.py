@@ -1,12 +1,12 @@
 """Licence scans: a trained paragraph classifier whose predictions a template comparison confirms.
 
-A paragraph is a line of a document. Candidates are paragraphs with a licensing cue
-(``CUE``); a paragraph without one is of unknown licence by definition, so nothing else has to be
-scored. A sparse (L1) multinomial logistic regression over hashed words and
+Every line of a document and every run of lines between blank lines is scored, so a
+notice is found on one line and wrapped over several. A sparse (L1) multinomial logistic regression over hashed words and
 word pairs tells the licence families and the class "unknown" apart. It learns from the
 notices below, whole and with words dropped and prose around them, and from a bounded
-sample of paragraphs without a cue (``MAX_PROSE`` paragraphs of the
-``MAX_SAMPLED`` documents with the smallest hash). The log odds of "not unknown" are
+sample of lines and paragraphs (of the ``MAX_SAMPLED`` documents with the smallest hash) that hold none of the notices:
+``MAX_PROSE`` of them, and ``MAX_CUED`` more that talk of licences all the same
+(``CUE``, which decides nothing else). The log odds of "not unknown" are
 calibrated on rows held out from training. A prediction is confirmed when enough of the
 word triples of one of the family's notices occur in the paragraph.
 
@@ -55,15 +55,30 @@ NOTICES = {
     "lgpl": [
         "This library is licensed under the GNU Lesser General Public License.",
         "you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation",
+        "Distributed under the terms of the LGPL, version 2.1.",
+        "LGPL-2.1-or-later",
+        "LGPL-3.0-or-later",
+        "unter der Lizenz LGPL 2.1",
+    ],
+    "agpl-3.0": [
+        "This program is licensed under the GNU Affero General Public License, version 3.",
+        "you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation",
+        "Distributed under AGPLv3.",
+        "AGPL-3.0-or-later",
     ],
     "bsd": [
         "Released under the BSD License.",
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met",
         "SPDX-License-Identifier: BSD-3-Clause",
+        "BSD-3-Clause",
+        "BSD-2-Clause",
     ],
     "mpl-2.0": [
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
         "Licensed under the Mozilla Public License, version 2.0.",
+        "Subject to the terms of the MPL 2.0.",
+        "SPDX-License-Identifier: MPL-2.0",
+        "unter der Lizenz MPL 2.0",
     ],
     "cc-by-nc-4.0": [
         "Licensed under CC BY-NC 4.0.",
@@ -87,7 +102,7 @@ NOTICES = {
     ],
 }
 CUE = (
-    r"(?i)licen[cs]|copyright|\bgnu\b|\bgpl|\bspdx|creative commons|\bcc[ -]?(?:by|0)|public domain"
+    r"(?i)licen[cs]|lizen[sz]|copyright|\bgnu\b|\b[al]?gpl|\bbsd\b|\bmpl\b|\bspdx|creative commons|\bcc[ -]?(?:by|0)|public domain"
     r"|permission is hereby|rights reserved|redistribut"
 )
 
@@ -95,7 +110,7 @@ FAMILIES = list(NOTICES)
 FEATURES = 1 << 13
 COPIES = 40
 DROPPED_PERCENT = 8
-MAX_SAMPLED, MAX_PROSE = 500, 3_000
+MAX_SAMPLED, MAX_PROSE, MAX_CUED, MAX_WORDS = 500, 3_000, 1_000, 500
 HELD_OUT = 4  # one in so many training rows calibrates
 KNOWN = 0.5
 CONFIRMED = 0.6
@@ -113,7 +128,9 @@ def grams(words: Column, size: int) -> Column:
 
 def with_features(rows: DataFrame) -> DataFrame:
     """``rows`` (words, ...) with hashed words and word pairs."""
-    terms = rows.withColumn("terms", F.concat("words", grams(F.col("words"), 2)))
+    words, pairs = F.col("words"), F.size("words") - 1
+    following = F.zip_with(F.slice(words, 1, pairs), F.slice(words, 2, pairs), lambda a, b: F.concat(a, F.lit(" "), b))
+    terms = rows.withColumn("terms", F.when(pairs > 0, F.concat(words, following)).otherwise(words))
     return HashingTF(numFeatures=FEATURES, binary=True, inputCol="terms", outputCol="features").transform(terms)
 
 
@@ -133,13 +150,20 @@ def notices(spark) -> DataFrame:
 
 
 def prose(docs: DataFrame) -> DataFrame:
-    """(number, words): the bounded sample of paragraphs without a cue, numbered from 0."""
+    """(number, words): the bounded sample of paragraphs without a notice, numbered from 0."""
     ids = docs.filter("doc_id is not null").select("doc_id").distinct()
     ids = ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(MAX_SAMPLED)
-    lines = docs.join(F.broadcast(ids), "doc_id").select(F.explode(F.split("text", "\n")).alias("line")).distinct()
-    plain = lines.filter(~F.col("line").rlike(CUE)).orderBy(F.xxhash64("line"), "line").limit(MAX_PROSE)
-    by_hash = Window.orderBy(F.xxhash64("line"), "line")  # of MAX_PROSE rows at most
-    return plain.select((F.row_number().over(by_hash) - 1).alias("number"), words_of(F.col("line")).alias("words"))
+    texts = paragraphs(docs.join(F.broadcast(ids), "doc_id")).select(F.array_join("lines", "\n").alias("line")).distinct()
+    texts, cued = keep(texts, "licence-sample"), F.col("line").rlike(CUE)
+    first = lambda rows, most: rows.orderBy(F.xxhash64("line"), "line").limit(most)
+    some = first(texts.filter(~cued), MAX_PROSE).unionByName(first(texts.filter(cued), MAX_CUED))
+    some = keep(some.select("line", F.slice(words_of(F.col("line")), 1, MAX_WORDS).alias("words")), "licence-words")
+    # Stored, because a filter would work the grams out once per notice.
+    triples = _triples(docs.sparkSession)
+    plain = keep(some.withColumn("grams", _noticed(F.col("words"), triples)), "licence-grams")
+    plain = plain.filter(~_holds(F.col("grams"), triples))
+    by_hash = Window.orderBy(F.xxhash64("line"), "line")  # of MAX_PROSE + MAX_CUED rows at most
+    return plain.select((F.row_number().over(by_hash) - 1).alias("number"), "words")
 
 
 def training_rows(docs: DataFrame) -> DataFrame:
@@ -201,31 +225,65 @@ class LicenceModel:
         return scored.select(*rows.columns, "family", "probability")
 
 
-def candidates(docs: DataFrame) -> DataFrame:
-    """(doc_id, paragraph, line): paragraphs with a cue, numbered from 0 in their document."""
-    marked = docs.select("doc_id", "text").filter(F.col("text").rlike(CUE))
-    lines = marked.select("doc_id", F.posexplode(F.split("text", "\n")).alias("paragraph", "line"))
-    return lines.filter(F.col("line").rlike(CUE))
+def paragraphs(docs: DataFrame) -> DataFrame:
+    """(doc_id, paragraph, lines): every line, and every run of two or more lines between blank ones, by its first line's number."""
+    texts = docs.select("doc_id", F.split("text", "\n").alias("all"))
+    blank = F.filter(F.transform("all", lambda line, i: F.when(~line.rlike(r"\S"), i)), lambda i: i.isNotNull())
+    texts = texts.withColumn("edges", F.concat(F.array(F.lit(-1)), blank, F.array(F.size("all"))))
+    count = F.size("edges") - 1
+    runs = F.zip_with(
+        F.slice("edges", 1, count), F.slice("edges", 2, count),
+        lambda a, b: F.struct((a + 1).alias("paragraph"), (b - a - 1).alias("n")),
+    )
+    line_runs = F.transform("all", lambda line, i: F.struct(i.alias("paragraph"), F.array(line).alias("lines")))
+    long_runs = F.transform(
+        F.filter(runs, lambda run: run["n"] > 1),
+        lambda run: F.struct(run["paragraph"].alias("paragraph"), F.slice("all", run["paragraph"] + 1, run["n"]).alias("lines")),
+    )
+    # Texts leave before the rows multiply, or every line would carry its whole document.
+    return texts.select("doc_id", F.concat(line_runs, long_runs).alias("runs")).select("doc_id", F.inline("runs"))
 
 
 def licences(docs: DataFrame) -> DataFrame:
-    """(doc_id, paragraph, family, probability, notice, overlap, confirmed) of the paragraphs of a known licence.
+    """(doc_id, paragraph, n_lines, family, probability, notice, overlap, confirmed) of the paragraphs of a known licence.
 
     ``overlap`` is the share of word triples of the family's best fitting ``notice`` that the paragraph holds.
     """
     model = LicenceModel(docs)
-    rows = candidates(docs).withColumn("words", words_of(F.col("line"))).drop("line")
-    predicted = model.predict(rows)
-    found = F.concat(grams(F.col("words"), 3), grams(F.col("words"), 2))
+    rows = paragraphs(docs).withColumn("words", words_of(F.array_join("lines", "\n"))).filter(F.size("words") > 0)
+    triples = _triples(docs.sparkSession)
+    predicted = keep(model.predict(rows).withColumn("n_lines", F.size("lines")), "licence-predicted")
+    single = F.transform("lines", lambda line: _noticed(words_of(line), triples))
+    predicted = keep(predicted.withColumn("single", F.when(F.col("n_lines") > 1, single)), "licence-lines")
+    rest = F.filter("lines", lambda line, i: ~_holds(F.get("single", i), triples))
+    predicted = predicted.withColumn("rest", F.when(F.col("n_lines") > 1, rest).otherwise(F.col("lines")))
+    predicted = keep(predicted.withColumn("words", words_of(F.array_join("rest", "\n"))), "licence-rest")
+    predicted = keep(predicted.withColumn("grams", _noticed(F.col("words"), triples)), "licence-found")
     by_family = [
-        F.when(F.col("family") == family, F.array(*[_overlap(found, name, triples) for name, triples in texts]))
-        for family, texts in _triples(docs.sparkSession).items()
+        F.when(F.col("family") == family, F.array(*[_overlap(F.col("grams"), name, wanted) for name, wanted in texts]))
+        for family, texts in triples.items()
     ]
     # Structs compare by their first field, so the largest is the best fitting notice.
     best = F.array_max(reduce(lambda a, b: F.coalesce(a, b), by_family))
-    return predicted.withColumn("best", best).select(
-        "doc_id", "paragraph", "family", "probability", F.col("best.notice").alias("notice"),
-        F.col("best.overlap").alias("overlap"), (F.col("best.overlap") >= CONFIRMED).alias("confirmed"),
+    confirmed = F.col("best.overlap") >= CONFIRMED
+    named = predicted.withColumn("best", best).filter(confirmed | (F.size("rest") == F.col("n_lines")))
+    return named.select(
+        "doc_id", "paragraph", "n_lines", "family", "probability", F.col("best.notice").alias("notice"),
+        F.col("best.overlap").alias("overlap"), confirmed.alias("confirmed"),
+    )
+
+
+def _noticed(words: Column, triples: dict[str, list[tuple[str, list[str]]]]) -> Column:
+    """The distinct word triples and pairs that occur in any notice."""
+    every = sorted({gram for texts in triples.values() for _, wanted in texts for gram in wanted})
+    return F.array_intersect(F.concat(grams(words, 3), grams(words, 2)), F.array(*map(F.lit, every)))
+
+
+def _holds(found: Column, triples: dict[str, list[tuple[str, list[str]]]]) -> Column:
+    """Whether ``found`` confirms a notice of any family."""
+    every = F.array(*[F.array(*map(F.lit, wanted)) for texts in triples.values() for _, wanted in texts])
+    return (F.size(found) > 0) & F.exists(
+        every, lambda wanted: F.size(F.array_intersect(found, wanted)) >= F.size(wanted) * CONFIRMED
     )
 
 

@@ -393,6 +393,29 @@ def test_licences(spark, sf_dir, documents):
     assert licenses.licences(both.limit(0)).count() == 0
 
 
+def test_licences_without_a_cue_and_wrapped(spark, sf_dir, documents):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    texts = {
+        "Distributed under the terms of the LGPL, version 2.1.": "lgpl",
+        "LGPL-2.1-or-later": "lgpl",
+        "Distributed under AGPLv3.": "agpl-3.0",
+        "BSD-3-Clause": "bsd",
+        "Subject to the terms of the MPL 2.0.": "mpl-2.0",
+        "Dieses Werk steht unter der Lizenz MPL 2.0": "mpl-2.0",
+        " * This program is free software: you can redistribute it and/or modify\n"
+        " * it under the terms of the GNU General Public License as published by\n"
+        " * the Free Software Foundation, either version 3 of the License, or\n"
+        " * (at your option) any later version.": "gpl-3.0",
+        "Permission is hereby granted, free of charge,\nto any person obtaining a copy of this software\n"
+        "and associated documentation files": "mit",
+    }
+    own = [(-1 - i, f"Some prose\nof two lines.\n \n{text}\n\nMore") for i, text in enumerate(texts)]
+    own += [(-30, "He took out the licence for his car\nand the copyright on a song\n\nAll of it was redistributed")]
+    result = licenses.licences(docs.unionByName(documents(own))).collect()
+    sure = {(r.doc_id, r.paragraph, r.n_lines): r.family for r in result if r.confirmed and r.doc_id < 0}
+    assert sure == {(-1 - i, 3, text.count("\n") + 1): family for i, (text, family) in enumerate(texts.items())}
+
+
 def lines_column():
     from pyspark.sql import functions as F
 
