@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from orderlens.llm import chat, contamination, licenses, near_copies, pieces, quality, secret_scan, spherical, token_counts, warc
+from orderlens.llm import (
+    chat, contamination, licenses, near_copies, pieces, prefix_trie, quality, secret_scan, spherical, token_counts, warc,
+)
 from orderlens.llm.common import table
 
 PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
@@ -59,6 +61,10 @@ def op10_token_counts(spark: SparkSession, sf_dir: str, model_path: str = PIECE_
     return token_counts.token_counts(table(spark, sf_dir, "documents"), model_path)
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.shared_rebuilt_prefixes(table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_quality": op2_quality,
@@ -70,6 +76,7 @@ QUERIES = {
     "op8_secrets": op8_secrets,
     "op9_embeddings": op9_embeddings,
     "op10_token_counts": op10_token_counts,
+    "op11_prefix_trie": op11_prefix_trie,
 }
 
 ORACLES: dict[str, str] = {}
@@ -165,3 +172,53 @@ SELECT e.vec_id, coalesce(c.n, 0) AS n_links, least(e.vec_id, coalesce(l.low, e.
        e.vec_id = least(e.vec_id, coalesce(l.low, e.vec_id)) AS kept
 FROM embeddings e LEFT JOIN least l USING (vec_id) LEFT JOIN counts c USING (vec_id)
 """
+
+# CRC-32 of a decimal number in SQL: the byte table by its polynomial, then one step per digit.
+CRC_TABLE = """crc_table AS (
+    SELECT list_transform(range(0, 256), lambda b: list_reduce(range(0, 8),
+               lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, b)) AS t
+)"""
+
+
+def crc32_sql(number: str) -> str:
+    digits = f"list_transform(string_split(CAST({number} AS VARCHAR), ''), lambda d: CAST(ascii(d) AS BIGINT))"
+    step = "lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])"
+    return f"xor(list_reduce({digits}, {step}, 4294967295), 4294967295)"
+
+
+ORACLES["op11_prefix_trie"] = f"""
+WITH {CRC_TABLE}, own AS (
+    SELECT conv_id, list({{'role': coalesce(role, ''), 'text': coalesce(text, '')}}
+                         ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS turns
+    FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
+), placed AS (
+    SELECT conv_id, turns, {crc32_sql("conv_id")} % 9 AS h FROM own, crc_table
+), rebuilt AS (
+    SELECT a.conv_id, list_concat(coalesce(b.turns[1:CAST(a.h AS BIGINT)], []), a.turns[CAST(a.h + 1 AS BIGINT):]) AS turns
+    FROM placed a LEFT JOIN own b ON b.conv_id = a.conv_id - a.conv_id % 5
+), steps AS (
+    SELECT conv_id, len(turns) AS n_turns, unnest(range(0, len(turns) + 1)) AS depth, turns FROM rebuilt
+), prefixes AS (
+    SELECT conv_id, n_turns, depth, sha256(CAST(to_json(turns[1:depth]) AS VARCHAR)) AS node,
+           CASE WHEN depth > 0 THEN sha256(CAST(to_json(turns[1:depth - 1]) AS VARCHAR)) END AS parent,
+           CASE WHEN depth > 0 THEN octet_length(encode(turns[depth].text)) ELSE 0 END AS bytes
+    FROM steps
+), nodes AS (
+    SELECT node, parent, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+           sum((CASE WHEN depth = n_turns THEN 1 ELSE 0 END)) AS n_ends, max(bytes) AS bytes,
+           sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (depth = n_turns), '')) AS ends_sha256
+    FROM prefixes GROUP BY node, parent, depth
+), children AS (
+    SELECT parent AS node, count(*) AS n_children FROM nodes WHERE parent IS NOT NULL GROUP BY parent
+), above AS (
+    SELECT p.node AS top, n.node AS below, n.n_convs, n.bytes, c.n_children
+    FROM nodes n LEFT JOIN children c USING (node)
+    JOIN prefixes d ON d.conv_id = n.conv_id AND d.depth = n.depth JOIN prefixes p ON p.conv_id = d.conv_id AND p.depth <= d.depth
+), sums AS (
+    SELECT top, sum(CASE WHEN n_children IS NULL THEN 1 ELSE 0 END) AS n_leaves, sum((n_convs - 1) * bytes) AS saved_tokens
+    FROM above GROUP BY top
+)
+SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, coalesce(c.n_children, 0) AS n_children,
+       CAST(s.n_leaves AS BIGINT) AS n_leaves, CAST(s.saved_tokens AS BIGINT) AS saved_tokens, n.ends_sha256
+FROM nodes n LEFT JOIN nodes p ON p.node = n.parent LEFT JOIN children c ON c.node = n.node JOIN sums s ON s.top = n.node
+"""
