@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from orderlens.llm import (
-    chat, contamination, licenses, near_copies, pieces, prefix_trie, quality, secret_scan, spherical, token_counts, warc,
+    chat, contamination, licenses, merkle, near_copies, pieces, prefix_trie, quality, secret_scan, spherical,
+    token_counts, warc,
 )
 from orderlens.llm.common import table
 
@@ -65,6 +66,10 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.shared_rebuilt_prefixes(table(spark, sf_dir, "conversations"))
 
 
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_quality": op2_quality,
@@ -77,6 +82,7 @@ QUERIES = {
     "op9_embeddings": op9_embeddings,
     "op10_token_counts": op10_token_counts,
     "op11_prefix_trie": op11_prefix_trie,
+    "op12_merkle": op12_merkle,
 }
 
 ORACLES: dict[str, str] = {}
@@ -222,3 +228,53 @@ SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, coalesce(c.n_
        CAST(s.n_leaves AS BIGINT) AS n_leaves, CAST(s.saved_tokens AS BIGINT) AS saved_tokens, n.ends_sha256
 FROM nodes n LEFT JOIN nodes p ON p.node = n.parent LEFT JOIN children c ON c.node = n.node JOIN sums s ON s.top = n.node
 """
+
+
+def _field_sql(value: str) -> str:
+    return f"coalesce(octet_length(encode(CAST({value} AS VARCHAR))) || ':' || CAST({value} AS VARCHAR), '-')"
+
+
+def _leaf_sql(text: str) -> str:
+    return f"sha256({' || '.join(_field_sql(c) for c in ('doc_id', 'source', 'lang', 'n_chars', text))})"
+
+
+# Both trees, sources below and all subroots above, grow level by level; a leaf's way up is folded in the end.
+ORACLES["op12_merkle"] = f"""
+WITH RECURSIVE {CRC_TABLE}, rows AS (
+    SELECT doc_id, coalesce('s' || source, '') AS g, {_leaf_sql("text")} AS leaf,
+           CASE WHEN {crc32_sql("doc_id")} % 2 = 0 THEN {_leaf_sql("replace(text, chr(10), '')")} END AS altered
+    FROM documents, crc_table
+), leaves AS (
+    SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i FROM rows
+), low AS (
+    SELECT g, 0 AS level, i, leaf AS h, count(*) OVER (PARTITION BY g) AS n FROM leaves
+    UNION ALL
+    SELECT g, level + 1, i // 3, sha256(string_agg(h, '' ORDER BY i)), (any_value(n) + 2) // 3
+    FROM low WHERE n > 1 GROUP BY g, level, i // 3
+), subroots AS (
+    SELECT g, level AS levels, h AS subroot, row_number() OVER (ORDER BY g) - 1 AS s FROM low WHERE n = 1
+), high AS (
+    SELECT 0 AS level, s AS i, subroot AS h, count(*) OVER () AS n FROM subroots
+    UNION ALL
+    SELECT level + 1, i // 3, sha256(string_agg(h, '' ORDER BY i)), (any_value(n) + 2) // 3
+    FROM high WHERE n > 1 GROUP BY level, i // 3
+), top AS (
+    SELECT h AS root, level AS top_levels FROM high WHERE n = 1
+), nodes AS (
+    SELECT g, level, i, h FROM low WHERE n > 1
+    UNION ALL
+    SELECT t.g, t.levels + x.level, x.i, x.h FROM (SELECT g, levels FROM subroots) t JOIN high x ON x.n > 1
+), fold AS (
+    SELECT l.doc_id, l.g, l.leaf, 0 AS level, l.i AS i, coalesce(l.altered, l.leaf) AS h, '' AS proof, s.levels, s.s, s.subroot
+    FROM leaves l JOIN subroots s USING (g)
+    UNION ALL
+    SELECT f.doc_id, f.g, f.leaf, f.level + 1, f.k // 3,
+           sha256(string_agg(CASE WHEN n.i = f.k THEN f.h ELSE n.h END, '' ORDER BY n.i)),
+           f.proof || coalesce(string_agg(n.h, '' ORDER BY n.i) FILTER (n.i <> f.k), ''), f.levels, f.s, f.subroot
+    FROM (SELECT *, CASE WHEN level = levels THEN s ELSE i END AS k FROM fold) f
+    JOIN nodes n ON n.g = f.g AND n.level = f.level AND n.i // 3 = f.k // 3
+    GROUP BY f.doc_id, f.g, f.leaf, f.level, f.i, f.k, f.h, f.proof, f.levels, f.s, f.subroot
+)
+SELECT f.doc_id, f.leaf, f.subroot, t.root, sha256(f.proof) AS proof_sha256, f.h AS folded_root, f.h = t.root AS verified
+FROM fold f JOIN top t ON f.level = f.levels + t.top_levels
+"""
