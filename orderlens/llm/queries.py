@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from orderlens.llm import (
     chat, contamination, licenses, merkle, near_copies, pieces, prefix_trie, quality, secret_scan, spherical,
-    token_counts, warc,
+    token_counts, url_filter, warc,
 )
 from orderlens.llm.common import table
 
@@ -70,6 +70,10 @@ def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.manifest(table(spark, sf_dir, "documents"))
 
 
+def op13_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judged(table(spark, sf_dir, "pages"))
+
+
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_quality": op2_quality,
@@ -83,6 +87,7 @@ QUERIES = {
     "op10_token_counts": op10_token_counts,
     "op11_prefix_trie": op11_prefix_trie,
     "op12_merkle": op12_merkle,
+    "op13_url_filter": op13_url_filter,
 }
 
 ORACLES: dict[str, str] = {}

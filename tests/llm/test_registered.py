@@ -13,7 +13,7 @@ def test_query_equals_sql(spark, sf_dir, name):
 
 
 def test_names_are_numbered():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 13))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
 
 
 def test_pipeline_stages(spark, sf_dir):
