@@ -252,6 +252,17 @@ ORACLES: dict[str, str] = {
         "CASE WHEN event_type = 'error' THEN '2024-01-02' ELSE '2024-01-01' END AS dt FROM events"
     ),
     "extract_overlap_backfill": q("SELECT order_id, lineitem_id, item_name FROM items"),
+    "quarantine_split": q(
+        "SELECT order_id, lineitem_id, CASE WHEN bad IS NULL THEN 'processed' ELSE 'quarantine' END AS place, bad AS reason "
+        "FROM (SELECT order_id, lineitem_id, CASE WHEN order_id % 46 = 0 OR order_id % 58 = 0 THEN NULL "
+        "WHEN order_id % 23 = 0 THEN 'unparseable' WHEN order_id % 29 = 0 THEN 'missing' "
+        "WHEN order_id % 31 = 0 THEN 'unparseable' END AS bad FROM items)"
+    ),
+    "late_options_in_marts": q(SALES),
+    "refresh_by_month": q(
+        "SELECT order_id, lineitem_id, item_name, order_date, CAST(date_trunc('month', order_date) AS DATE) AS order_period, coalesce(n, 0) AS n_options FROM items LEFT JOIN "
+        "(SELECT order_id, lineitem_id, count(*) AS n FROM options GROUP BY order_id, lineitem_id) USING (order_id, lineitem_id)"
+    ),
     "mart_write_roundtrip": q(SALES),
     "row_counts": q(
         "SELECT 'order_items' AS table_name, count(*) AS row_count FROM items UNION ALL "

@@ -16,6 +16,7 @@ from orderlens.operators.ranking import SLICE_ROWS
 from orderlens.plans import marts, quality
 from orderlens.plans.base import SalesBase
 from orderlens.plans.pipeline import load, run_pipeline
+from orderlens.plans.refresh import PERIOD
 from orderlens.plans.run import BUILDERS, run_marts
 from orderlens.session import fresh_dir, small_table
 from orderlens.sources import incremental as inc
@@ -27,6 +28,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 EVENT_MARK = "2024-01-16T00:00:00.000000Z"
 ORDER_MARK = "1998-06-30T12:00:00.000000Z"
 LAST_DAY = "1998-06-30T00:00:00"
+# Lines from this day to the mark arrive with a wrong day first; the second run's overlap reaches back to it.
+MOVED_FROM, OVERLAP_DAYS, SECOND_MARK = "1998-06-10T00:00:00", 30, "1999-12-31T00:00:00"
 
 
 def _time_text(column: str):
@@ -157,6 +160,76 @@ def extract_overlap_backfill(spark, sf_dir):
     return spark.read.parquet(f"{root}/processed/order_items").select("order_id", "lineitem_id", "item_name")
 
 
+def _damaged(items: DataFrame, *sound: int) -> DataFrame:
+    """Some orders get times that cannot be read; those divisible by a number of ``sound`` keep theirs."""
+    text, order = F.col("CREATION_TIME_UTC"), F.col("ORDER_ID")
+    kept = F.lit(False)
+    for number in sound:
+        kept = kept | (order % number == 0)
+    spoilt = (
+        F.when(kept, text).when(order % 23 == 0, "not a time").when(order % 29 == 0, F.lit(None))
+        .when(order % 31 == 0, F.concat(F.substring(text, 9, 2), F.lit("/"), F.substring(text, 6, 2), F.lit("/"), F.substring(text, 1, 4)))
+        .otherwise(text)
+    )
+    return items.withColumn("CREATION_TIME_UTC", spoilt)
+
+
+def quarantine_split(spark, sf_dir):
+    """Two runs over items with damaged times, some of them mended before the second run."""
+    root = fresh_dir(spark, "quarantine")
+    items, options = fx.raw_order_items(spark, sf_dir), fx.raw_order_item_options(spark, sf_dir)
+    dim = fx.raw_date_dim(spark, sf_dir)
+    early = _damaged(items.filter(F.col("CREATION_TIME_UTC") <= ORDER_MARK))
+    load(spark, early, options, dim, root, "2024-01-01")
+    load(spark, _damaged(items, 46, 58), options, dim, root, "2024-01-02", recheck=True)
+    sound = spark.read.parquet(f"{root}/processed/order_items")
+    held = spark.read.parquet(f"{root}/processed/order_items_quarantine")
+    places = [
+        sound.select("order_id", "lineitem_id", F.lit("processed").alias("place"), F.lit(None).cast("string").alias("reason")),
+        held.select("order_id", "lineitem_id", F.lit("quarantine").alias("place"), "reason"),
+    ]
+    return places[0].unionByName(places[1])
+
+
+def late_options_in_marts(spark, sf_dir):
+    """A third of the options comes after its items were extracted, and reaches the mart all the same."""
+    root = fresh_dir(spark, "late-options")
+    items, options = fx.raw_order_items(spark, sf_dir), fx.raw_order_item_options(spark, sf_dir)
+    dim = fx.raw_date_dim(spark, sf_dir)
+    only = {"sales_trends": BUILDERS["sales_trends"]}
+    for dt, available in (("2024-01-01", options.filter(F.col("ORDER_ID") % 3 != 0)), ("2024-01-02", options)):
+        run_pipeline(
+            spark, items, available, dim, root, dt, extraction={"late_options": True}, threshold=fx.THRESHOLD, builders=only
+        )
+    return spark.read.parquet(f"{root}/marts/sales_trends")
+
+
+def refresh_by_month(spark, sf_dir):
+    """Processed tables by month after three increments; the second one moves lines to other months."""
+    root = fresh_dir(spark, "by-month")
+    items, options = fx.raw_order_items(spark, sf_dir), fx.raw_order_item_options(spark, sf_dir)
+    dim = fx.raw_date_dim(spark, sf_dir)
+    text = F.col("CREATION_TIME_UTC")
+    moved = (F.col("ORDER_ID") % 5 == 0) & (text <= ORDER_MARK) & (text >= MOVED_FROM)
+    before = F.concat(F.date_sub(F.to_date(F.substring(text, 1, 10)), 40).cast("string"), F.substring(text, 11, 30))
+    wrong = items.withColumn("CREATION_TIME_UTC", F.when(moved, before).otherwise(text))
+    runs = (
+        ("2024-01-01", wrong.filter(text <= ORDER_MARK), {}),
+        ("2024-01-02", items.filter(text <= SECOND_MARK), {"overlap_seconds": OVERLAP_DAYS * 86_400}),
+        ("2024-01-03", items, {}),
+    )
+    for dt, available, extraction in runs:
+        load(spark, available, options, dim, root, dt, by="month", **extraction)
+    lines = spark.read.parquet(f"{root}/processed/order_items")
+    extras = spark.read.parquet(f"{root}/processed/order_item_options")
+    keys = ["order_id", "lineitem_id", PERIOD]
+    extras = extras.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    return lines.join(extras, keys, "left").select(
+        "order_id", "lineitem_id", "item_name", F.to_date("creation_time_utc").alias("order_date"), PERIOD,
+        F.coalesce("n", F.lit(0)).alias("n_options"),
+    )
+
+
 # --- projections and parsing ------------------------------------------------
 
 
@@ -441,6 +514,6 @@ QUERIES: dict[str, Query] = {
         dq_top_customers, dq_concentration, dq_percentiles, dq_percentiles_distributed, dq_threshold_impact,
         dq_reconcile_loyalty, dq_reconcile_location, dq_top_flagged_locations, dq_churn, dq_churn_medians,
         dq_timestamp_format, dq_timestamp_samples, dq_price_signs, dq_amounts, extract_overlap_backfill,
-        raw_partition_shuffled, price_anomalies_shuffled,
+        raw_partition_shuffled, price_anomalies_shuffled, quarantine_split, late_options_in_marts, refresh_by_month,
     )
 }

@@ -9,11 +9,12 @@ from orderlens.functions.columns import snake_lower
 from orderlens.functions.times import failure_counts, parse_dates, parse_timestamps, parsed_date, parsed_time
 from orderlens.schemas import LINE_KEY
 from orderlens.session import small_table
+from orderlens.sources.quarantine import SOUND, STATE, UNREADABLE, failure_reason, still_unreadable
 from orderlens.sources.readers import VERSION, drop_superseded, latest_snapshot, read_raw
 from orderlens.sources.sinks import write_observed
 
 CHECKS = "table string, rows long, unparseable long, missing long"
-NO_OPTIONS = "order_id long, lineitem_id string, option_price double, option_quantity int, dt date, batch long"
+OPTION_VALUES = "option_price double, option_quantity int, dt date, batch long"
 
 
 def process_items(raw: DataFrame) -> DataFrame:
@@ -36,25 +37,53 @@ def _store_parsed(df: DataFrame, path: str, text: str, parsed: Column) -> dict:
     return write_observed(both, path, "overwrite", metrics, keep)
 
 
-def transform(spark: SparkSession, raw_root: str, processed_root: str) -> DataFrame:
+def raw_table(spark: SparkSession, raw_root: str, table: str, empty: str | None = None) -> DataFrame:
+    """All increments of a raw table with lower-case names."""
+    return snake_lower(read_raw(spark, f"{raw_root}/{table}", empty))
+
+
+def raw_options(spark: SparkSession, raw_root: str, items: DataFrame) -> DataFrame:
+    """The raw options; before there are any, an empty table whose keys have the types of ``items``."""
+    keys = ", ".join(f"{k} {items.schema[k].dataType.simpleString()}" for k in LINE_KEY)
+    return raw_table(spark, raw_root, "order_item_options", f"{keys}, {OPTION_VALUES}")
+
+
+def quarantine(raw_items: DataFrame, text: str = "creation_time_utc") -> DataFrame:
+    """Rows whose time cannot be read, the newest per line, with the reason; lines that were mended since are left out."""
+    waiting = raw_items.filter(F.col(STATE) == UNREADABLE)
+    newest = drop_superseded(waiting, list(LINE_KEY))
+    still = still_unreadable(newest, raw_items.filter(F.col(STATE) == SOUND), list(LINE_KEY), "batch")
+    return still.drop(STATE).withColumn("reason", failure_reason(text))
+
+
+def transform(spark: SparkSession, raw_root: str, processed_root: str, readmit: bool = False) -> DataFrame:
     """Rebuild all processed tables; returns rows and parse failures per table.
 
     Items and options stay apart, so the item grain is not multiplied. Bad text
-    is reported and does not stop the run.
+    is reported and does not stop the run: items without a readable time go to
+    ``order_items_quarantine`` with their reason. ``readmit`` puts them among the
+    items as well, with a null time.
     """
-
-    def raw(table: str, empty: str | None = None) -> DataFrame:
-        return snake_lower(read_raw(spark, f"{raw_root}/{table}", empty))
-
     run = list(VERSION)
-    items = drop_superseded(raw("order_items"), list(LINE_KEY)).drop(*run)
-    options = drop_superseded(raw("order_item_options", NO_OPTIONS), list(LINE_KEY)).drop(*run)
-    dates = latest_snapshot(raw("date_dim")).drop(*run)
-
+    raw_items = raw_table(spark, raw_root, "order_items")
+    items = drop_superseded(raw_items.filter(F.col(STATE) == SOUND), list(LINE_KEY)).drop(*run, STATE)
+    options = drop_superseded(raw_options(spark, raw_root, raw_items), list(LINE_KEY)).drop(*run)
+    dates = latest_snapshot(raw_table(spark, raw_root, "date_dim")).drop(*run)
+
+    text = "creation_time_utc"
+    missing = F.col("reason") == "missing"
+    held = write_observed(
+        quarantine(raw_items, text), f"{processed_root}/order_items_quarantine", "overwrite",
+        {"missing": F.count_if(missing), "unparseable": F.count_if(~missing)},
+    )
+    if readmit:
+        back = spark.read.parquet(f"{processed_root}/order_items_quarantine").select(*items.columns)
+        items = items.unionByName(back)
+    stored_items = _store_parsed(items, f"{processed_root}/order_items", text, parsed_time(text))
+    for failure in ("unparseable", "missing"):
+        stored_items[failure] = held.get(failure, 0)
     seen = {
-        "order_items": _store_parsed(
-            items, f"{processed_root}/order_items", "creation_time_utc", parsed_time("creation_time_utc")
-        ),
+        "order_items": stored_items,
         "order_item_options": write_observed(options, f"{processed_root}/order_item_options", "overwrite"),
         "date_dim": _store_parsed(dates, f"{processed_root}/date_dim", "date_key", parsed_date("date_key")),
     }

@@ -16,6 +16,8 @@ def write_observed(
     mode: str,
     metrics: dict[str, Column] | None = None,
     columns: list[Column] | None = None,
+    partition_by: tuple[str, ...] = (),
+    options: dict[str, str] | None = None,
 ) -> dict:
     """Write ``df`` and return metrics that were gathered while writing.
 
@@ -29,7 +31,8 @@ def write_observed(
     )
     if columns:
         observed = observed.select(*columns)
-    observed.write.mode(mode).option("maxRecordsPerFile", MAX_RECORDS_PER_FILE).parquet(path)
+    writer = observed.write.mode(mode).options(maxRecordsPerFile=MAX_RECORDS_PER_FILE, **(options or {}))
+    writer.parquet(path, partitionBy=list(partition_by) or None)
     return gathered.get
 
 
@@ -38,10 +41,10 @@ def overwrite_table(df: DataFrame, path: str) -> int:
     return write_observed(df, path, "overwrite").get("rows", 0)
 
 
-def write_raw(df: DataFrame, table_root: str, dt: str, batch: int, metrics: dict[str, Column] | None = None) -> dict:
+def write_raw(df: DataFrame, table_root: str, dt: str, batch: int, metrics: dict[str, Column] | None = None, **more) -> dict:
     """Add one increment under ``dt=<day>/batch=<run number>``.
 
     No run writes where another has written. What two runs have both read, after a
     crash or through an overlap, is left to ``drop_superseded``.
     """
-    return write_observed(df, f"{table_root}/dt={dt}/batch={batch}", "errorifexists", metrics)
+    return write_observed(df, f"{table_root}/dt={dt}/batch={batch}", "errorifexists", metrics, **more)
