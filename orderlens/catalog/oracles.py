@@ -196,6 +196,14 @@ def signs(column: str, source: str) -> str:
 SALES = f"""SELECT order_date, total_revenue, order_count, avg_order_value, {CALENDAR.format(d='order_date')},
   is_holiday FROM sales"""
 SCORES = "SELECT user_id, recency_score, frequency_score, monetary_score FROM rfm"
+LINE_REVENUE = (
+    "SELECT order_id, lineitem_id, round(item_revenue, 6) AS item_revenue, "
+    "round(options_revenue, 6) AS options_revenue, round(total_revenue, 6) AS total_revenue FROM lines"
+)
+CLV = (
+    f"SELECT user_id, order_date, daily_revenue, cumulative_clv, {CALENDAR.format(d='order_date')}, is_holiday, "
+    "flag AS is_likely_non_individual FROM clv LEFT JOIN dim ON order_date = date_key JOIN volume USING (user_id)"
+)
 EVENTS = "SELECT event_id, user_id, event_type, value FROM events"
 PERCENTS = (50, 75, 90, 95, 97, 98, 99, 99.5, 99.9, 99.99, 100)
 PERCENTILES = " UNION ALL ".join(
@@ -269,6 +277,7 @@ ORACLES: dict[str, str] = {
         "SELECT 'order_item_options', count(*) FROM options UNION ALL SELECT 'date_dim', count(*) FROM dim"
     ),
     "ingest_available_now": EVENTS,
+    "ingest_distinct_keys": EVENTS,
     "staged_sales_trends": q(SALES),
     "normalize_columns": q("SELECT order_id, lineitem_id, user_id, restaurant_id, is_loyalty, item_name FROM items"),
     "parse_mixed_timestamps": q(
@@ -299,15 +308,25 @@ ORACLES: dict[str, str] = {
         "FROM ratios WHERE price_ratio > 20"
     ),
     "price_anomaly_kept": q("SELECT order_id, lineitem_id, item_name, item_price FROM clean"),
-    "line_revenue": q(
-        "SELECT order_id, lineitem_id, round(item_revenue, 6) AS item_revenue, "
-        "round(options_revenue, 6) AS options_revenue, round(total_revenue, 6) AS total_revenue FROM lines"
-    ),
+    "line_revenue": q(LINE_REVENUE),
+    "line_revenue_bucketed": q(LINE_REVENUE),
     "line_items_per_customer": q("SELECT user_id, total_line_items FROM volume"),
     "non_individual_flag": q("SELECT user_id, total_line_items, flag AS is_likely_non_individual FROM volume"),
-    "clv_daily": q(
-        f"SELECT user_id, order_date, daily_revenue, cumulative_clv, {CALENDAR.format(d='order_date')}, is_holiday, "
-        "flag AS is_likely_non_individual FROM clv LEFT JOIN dim ON order_date = date_key JOIN volume USING (user_id)"
+    "clv_daily": q(CLV),
+    "clv_daily_incremental": q(CLV),
+    "item_median_sketched": q("SELECT item_name, row_count, true AS within_error FROM medians"),
+    "location_totals_sketched": q(
+        "SELECT restaurant_id, total_revenue, order_count, distinct_customers FROM locations"
+    ),
+    "calendar_as_of": q(
+        "SELECT order_date, as_of, dayname(order_date) AS day_of_week, "
+        "CASE WHEN NOT known THEN NULL WHEN may THEN true ELSE is_holiday END AS is_holiday, "
+        "CASE WHEN NOT known THEN NULL WHEN may THEN 'May Day' ELSE holiday_name END AS holiday_name FROM ("
+        "SELECT order_date, as_of, is_holiday, holiday_name, as_of > DATE '2024-01-05' AND strftime(date_key, '%m-%d') = '05-01' AS may, "
+        "as_of > DATE '2024-01-01' AND NOT (as_of > DATE '2024-01-08' AND strftime(date_key, '%m-%d') = '07-04') AS known "
+        "FROM (SELECT DISTINCT CAST(o_orderdate AS DATE) AS order_date FROM orders) CROSS JOIN "
+        "(VALUES (DATE '2024-01-01'), (DATE '2024-01-05'), (DATE '2024-01-07'), (DATE '2024-01-09')) AS v(as_of) "
+        "LEFT JOIN dim ON order_date = date_key)"
     ),
     "reference_date": q("SELECT max(order_date) AS reference_date FROM lines"),
     "rfm_scores": q(SCORES),
@@ -336,6 +355,7 @@ ORACLES: dict[str, str] = {
         "AS avg_without_free_item FROM order_totals"
     ),
     "mart_run_status": q(MART_ROWS),
+    "mart_run_resumed": q(MART_ROWS.replace("'success'", "CASE WHEN mart = 'sales_trends' THEN 'success' ELSE 'kept' END")),
     "dq_sales_trends": q(
         report(
             "sales_trends",

@@ -9,19 +9,20 @@ from pyspark.sql import functions as F
 
 from orderlens.catalog import fixtures as fx
 from orderlens.functions import times
-from orderlens.functions.calendar import with_calendar
+from orderlens.functions.calendar import validity_periods, with_calendar, with_calendar_as_of
 from orderlens.functions.columns import MONEY_SCALE, price_tier, snake_lower
-from orderlens.operators import accounts, lines, prices
+from orderlens.operators import accounts, lines, prices, sketches
 from orderlens.operators.ranking import SLICE_ROWS
-from orderlens.plans import marts, quality
+from orderlens.plans import clv_state, marts, quality
 from orderlens.plans.base import SalesBase
 from orderlens.plans.pipeline import load, run_pipeline
 from orderlens.plans.refresh import PERIOD
 from orderlens.plans.run import BUILDERS, run_marts
-from orderlens.session import fresh_dir, small_table
+from orderlens.plans.transform import line_buckets, process_dates
+from orderlens.session import fresh_dir, keep, small_table
 from orderlens.sources import incremental as inc
 from orderlens.sources import marks, readers, sinks
-from orderlens.streaming.ingest import ingest_available, ingested
+from orderlens.streaming.ingest import ingest_available, ingest_distinct, ingested
 
 Query = Callable[[SparkSession, str], DataFrame]
 # Marks that split the driver's events and orders into an old and a new part.
@@ -30,6 +31,7 @@ ORDER_MARK = "1998-06-30T12:00:00.000000Z"
 LAST_DAY = "1998-06-30T00:00:00"
 # Lines from this day to the mark arrive with a wrong day first; the second run's overlap reaches back to it.
 MOVED_FROM, OVERLAP_DAYS, SECOND_MARK = "1998-06-10T00:00:00", 30, "1999-12-31T00:00:00"
+CLV_DAYS = ("1996-12-31", "1998-12-31")
 
 
 def _time_text(column: str):
@@ -128,6 +130,16 @@ def ingest_available_now(spark, sf_dir):
     return ingested(spark, f"{root}/sink", schema).select("event_id", "user_id", "event_type", "value")
 
 
+def ingest_distinct_keys(spark, sf_dir):
+    """A stream that gets part of the events, then all of them twice; every event counts once, late ones too."""
+    root = fresh_dir(spark, "distinct")
+    events = fx.table(spark, sf_dir, "events")
+    for part in (events.filter(F.col("ts") > EVENT_MARK[:-1]), events, events):
+        part.write.mode("append").parquet(f"{root}/in")
+        ingest_distinct(spark, f"{root}/in", events.schema, "ts", ["event_id"], f"{root}/sink", f"{root}/checkpoint")
+    return ingested(spark, f"{root}/sink", events.schema).select("event_id", "user_id", "event_type", "value")
+
+
 def staged_sales_trends(spark, sf_dir):
     """Extract in two runs, transform, then build a mart from the stored tables."""
     root = fresh_dir(spark, "stages")
@@ -298,6 +310,18 @@ def line_revenue(spark, sf_dir):
     return found.select("order_id", "lineitem_id", *[F.round(c, MONEY_SCALE).alias(c) for c in revenue])
 
 
+def line_revenue_bucketed(spark, sf_dir):
+    """The same from tables stored in buckets of the line key, joined without a shuffle."""
+    root, by_line = fresh_dir(spark, "bucketed"), line_buckets(8)
+    tables = {"items": fx.order_items(spark, sf_dir), "options": fx.order_item_options(spark, sf_dir)}
+    for name, df in tables.items():
+        sinks.write_observed(df, f"{root}/{name}", "overwrite", buckets=by_line)
+    items, options = (readers.read_bucketed(spark, f"{root}/{name}", by_line) for name in tables)
+    found = lines.line_revenue(prices.plausible_prices(items), options)
+    revenue = ("item_revenue", "options_revenue", "total_revenue")
+    return found.select("order_id", "lineitem_id", *[F.round(c, MONEY_SCALE).alias(c) for c in revenue])
+
+
 def line_items_per_customer(spark, sf_dir):
     return accounts.lines_per_customer(fx.sales_base(spark, sf_dir).slices)
 
@@ -376,6 +400,69 @@ def mart_run_status(spark, sf_dir):
     return run_marts(spark, fx.sales_base(spark, sf_dir), fresh_dir(spark, "marts"))
 
 
+def mart_run_resumed(spark, sf_dir):
+    """Four marts at a time; one fails, and a second attempt builds it alone."""
+    root, base = fresh_dir(spark, "resumed"), fx.sales_base(spark, sf_dir)
+
+    def broken(_):
+        raise ValueError("not today")
+
+    again = {"workers": 4, "status_path": f"{root}/status", "run_key": "2024-01-01", "raise_on_failure": False}
+    run_marts(spark, base, f"{root}/marts", {**BUILDERS, "sales_trends": broken}, **again)
+    return run_marts(spark, base, f"{root}/marts", **again)
+
+
+def clv_daily_incremental(spark, sf_dir):
+    """Lifetime values brought forward over three increments, the last with late days of old customers."""
+    root, base = fresh_dir(spark, "clv"), fx.sales_base(spark, sf_dir)
+    day, late = F.col("order_date"), F.col("order_id") % 7 == 0
+    first, second = day <= CLV_DAYS[0], (day > CLV_DAYS[0]) & (day <= CLV_DAYS[1])
+    for part in (first & ~late, second & ~late, (day > CLV_DAYS[1]) | late):
+        clv_state.advance_clv(spark, base.slices.filter(part), root)
+    return clv_state.clv_daily(spark, root, base.date_dim, base.threshold)
+
+
+def item_median_sketched(spark, sf_dir):
+    """Medians from stored daily sketches: rows per item, and whether the price's rank is within the stated error."""
+    root = fresh_dir(spark, "sketches")
+    items = lines.with_order_date(fx.order_items(spark, sf_dir)).select("item_name", "item_price", "order_date")
+    sinks.overwrite_table(sketches.price_sketches(items), f"{root}/prices")
+    found = keep(sketches.sketched_quantiles(spark.read.parquet(f"{root}/prices")), "sketched-medians")
+    ranked = sketches.rank_interval(items, found)
+    error = 2 * sketches.RANK_ERROR  # five standard errors
+    within = (F.col("below") <= 0.5 + error) & (F.col("upto") >= 0.5 - error)
+    return ranked.select("item_name", "row_count", F.coalesce(within, F.col("median_item_price").isNull()).alias("within_error"))
+
+
+def location_totals_sketched(spark, sf_dir):
+    """Totals per restaurant from stored daily sketches; up to 4,096 orders and customers their counts are exact."""
+    root = fresh_dir(spark, "sketches")
+    sinks.overwrite_table(
+        sketches.total_sketches(fx.sales_base(spark, sf_dir).slices, ["restaurant_id"]), f"{root}/totals"
+    )
+    return sketches.sketched_totals(spark.read.parquet(f"{root}/totals"), ["restaurant_id"])
+
+
+def calendar_as_of(spark, sf_dir):
+    """Order days with the holidays known before, at and after two changes of the calendar."""
+    root = fresh_dir(spark, "raw-date-dim")
+    dim = fx.raw_date_dim(spark, sf_dir)
+    changed = dim.withColumns({
+        "IS_HOLIDAY": F.col("IS_HOLIDAY") | F.startswith("DATE_KEY", F.lit("01-05-")),
+        "HOLIDAY_NAME": F.when(F.startswith("DATE_KEY", F.lit("01-05-")), "May Day").otherwise(F.col("HOLIDAY_NAME")),
+    })
+    shorter = changed.filter(~F.startswith("DATE_KEY", F.lit("04-07-")))
+    for number, (dt, known) in enumerate((("2024-01-02", dim), ("2024-01-04", dim), ("2024-01-06", changed), ("2024-01-08", shorter))):
+        sinks.write_raw(known, root, dt, number)
+    snapshots = process_dates(readers.read_raw(spark, root))
+    periods = keep(validity_periods(snapshots), "validity")
+    days = fx.table(spark, sf_dir, "orders").select(F.to_date("o_orderdate").alias("order_date")).distinct()
+    runs = F.array(*[F.lit(d).cast("date") for d in ("2024-01-01", "2024-01-05", "2024-01-07", "2024-01-09")])
+    asked = days.withColumn("as_of", F.explode(runs))
+    found = with_calendar_as_of(asked, "order_date", "as_of", periods)
+    return found.select("order_date", "as_of", "day_of_week", "is_holiday", "holiday_name")
+
+
 # --- data quality --------------------------------------------------------------
 
 
@@ -515,5 +602,7 @@ QUERIES: dict[str, Query] = {
         dq_reconcile_loyalty, dq_reconcile_location, dq_top_flagged_locations, dq_churn, dq_churn_medians,
         dq_timestamp_format, dq_timestamp_samples, dq_price_signs, dq_amounts, extract_overlap_backfill,
         raw_partition_shuffled, price_anomalies_shuffled, quarantine_split, late_options_in_marts, refresh_by_month,
+        ingest_distinct_keys, line_revenue_bucketed, mart_run_resumed, clv_daily_incremental, item_median_sketched,
+        location_totals_sketched, calendar_as_of,
     )
 }

@@ -25,6 +25,11 @@ def fits_broadcast(table: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, max_byt
     return rows <= max_rows and size <= max_bytes
 
 
+def few(rows: DataFrame) -> DataFrame:
+    """``rows``, to be broadcast if they are measured to be small."""
+    return F.broadcast(rows) if fits_broadcast(rows) else rows
+
+
 def lookup_join(
     facts: DataFrame,
     lookup: DataFrame,

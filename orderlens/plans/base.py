@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import threading
+from dataclasses import dataclass, field
 from functools import cached_property
 
 from pyspark.sql import DataFrame
@@ -25,6 +26,7 @@ class SalesBase:
     date_dim: DataFrame
     price_ratio: float = MAX_PRICE_RATIO
     threshold: int = MAX_INDIVIDUAL_LINES
+    _building: threading.Lock = field(default_factory=threading.Lock, init=False, repr=False, compare=False)
 
     def __post_init__(self):
         require_columns(self.items, ORDER_ITEMS, "order_items")
@@ -52,9 +54,13 @@ class SalesBase:
     def flagged(self) -> DataFrame:
         return keep(flagged_accounts(self.slices, self.threshold), "flagged")
 
-    @cached_property
+    @property
     def customers(self) -> DataFrame:
-        return customer_base(self.slices, self.threshold)
+        """Built once, also where several marts are built at a time."""
+        with self._building:
+            if "_customers" not in self.__dict__:
+                self.__dict__["_customers"] = customer_base(self.slices, self.threshold)
+        return self.__dict__["_customers"]
 
     @cached_property
     def customer_lines(self) -> DataFrame:

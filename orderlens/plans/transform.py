@@ -11,7 +11,7 @@ from orderlens.schemas import LINE_KEY
 from orderlens.session import small_table
 from orderlens.sources.quarantine import SOUND, STATE, UNREADABLE, failure_reason, still_unreadable
 from orderlens.sources.readers import VERSION, drop_superseded, latest_snapshot, read_raw
-from orderlens.sources.sinks import write_observed
+from orderlens.sources.sinks import Buckets, write_observed
 
 CHECKS = "table string, rows long, unparseable long, missing long"
 OPTION_VALUES = "option_price double, option_quantity int, dt date, batch long"
@@ -29,12 +29,12 @@ def process_dates(raw: DataFrame) -> DataFrame:
     return parse_dates(snake_lower(raw), "date_key")
 
 
-def _store_parsed(df: DataFrame, path: str, text: str, parsed: Column) -> dict:
+def _store_parsed(df: DataFrame, path: str, text: str, parsed: Column, **more) -> dict:
     """Write with ``text`` replaced by ``parsed``, counting failures on the way."""
     both = df.withColumn("_parsed", parsed)
     metrics = {name: count for name, count in failure_counts(text, F.col("_parsed")).items() if name != "rows"}
     keep = [F.col("_parsed").alias(c) if c == text else F.col(c) for c in df.columns]
-    return write_observed(both, path, "overwrite", metrics, keep)
+    return write_observed(both, path, "overwrite", metrics, keep, **more)
 
 
 def raw_table(spark: SparkSession, raw_root: str, table: str, empty: str | None = None) -> DataFrame:
@@ -56,15 +56,22 @@ def quarantine(raw_items: DataFrame, text: str = "creation_time_utc") -> DataFra
     return still.drop(STATE).withColumn("reason", failure_reason(text))
 
 
-def transform(spark: SparkSession, raw_root: str, processed_root: str, readmit: bool = False) -> DataFrame:
+def line_buckets(count: int | None) -> Buckets | None:
+    return Buckets(count, LINE_KEY) if count else None
+
+
+def transform(
+    spark: SparkSession, raw_root: str, processed_root: str, readmit: bool = False, buckets: int | None = None
+) -> DataFrame:
     """Rebuild all processed tables; returns rows and parse failures per table.
 
     Items and options stay apart, so the item grain is not multiplied. Bad text
     is reported and does not stop the run: items without a readable time go to
     ``order_items_quarantine`` with their reason. ``readmit`` puts them among the
-    items as well, with a null time.
+    items as well, with a null time. ``buckets`` stores items and options in so many
+    buckets of the line key, so that every later join of the two goes without a shuffle.
     """
-    run = list(VERSION)
+    run, by_line = list(VERSION), line_buckets(buckets)
     raw_items = raw_table(spark, raw_root, "order_items")
     items = drop_superseded(raw_items.filter(F.col(STATE) == SOUND), list(LINE_KEY)).drop(*run, STATE)
     options = drop_superseded(raw_options(spark, raw_root, raw_items), list(LINE_KEY)).drop(*run)
@@ -79,12 +86,14 @@ def transform(spark: SparkSession, raw_root: str, processed_root: str, readmit:
     if readmit:
         back = spark.read.parquet(f"{processed_root}/order_items_quarantine").select(*items.columns)
         items = items.unionByName(back)
-    stored_items = _store_parsed(items, f"{processed_root}/order_items", text, parsed_time(text))
+    stored_items = _store_parsed(items, f"{processed_root}/order_items", text, parsed_time(text), buckets=by_line)
     for failure in ("unparseable", "missing"):
         stored_items[failure] = held.get(failure, 0)
     seen = {
         "order_items": stored_items,
-        "order_item_options": write_observed(options, f"{processed_root}/order_item_options", "overwrite"),
+        "order_item_options": write_observed(
+            options, f"{processed_root}/order_item_options", "overwrite", buckets=by_line
+        ),
         "date_dim": _store_parsed(dates, f"{processed_root}/date_dim", "date_key", parsed_date("date_key")),
     }
     return small_table(

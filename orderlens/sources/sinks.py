@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -10,6 +13,13 @@ from pyspark.sql import functions as F
 MAX_RECORDS_PER_FILE = 20_000_000
 
 
+class Buckets(NamedTuple):
+    """How a table is bucketed: tables of equal buckets join on the keys without a shuffle."""
+
+    count: int
+    keys: tuple[str, ...]
+
+
 def write_observed(
     df: DataFrame,
     path: str,
@@ -18,10 +28,12 @@ def write_observed(
     columns: list[Column] | None = None,
     partition_by: tuple[str, ...] = (),
     options: dict[str, str] | None = None,
+    buckets: Buckets | None = None,
 ) -> dict:
     """Write ``df`` and return metrics that were gathered while writing.
 
-    Metrics see all of ``df``; ``columns`` narrows what is written.
+    Metrics see all of ``df``; ``columns`` narrows what is written. With ``buckets`` the
+    table is bucketed and sorted by their keys, one file per bucket.
     """
     gathered = Observation()
     observed = df.observe(
@@ -31,6 +43,14 @@ def write_observed(
     )
     if columns:
         observed = observed.select(*columns)
+    if buckets:
+        dealt = observed.repartition(buckets.count, *buckets.keys)
+        writer = dealt.write.mode(mode).bucketBy(buckets.count, *buckets.keys).sortBy(*buckets.keys)
+        # Only the files matter; the entry in this session's catalog goes again.
+        name = f"bucketed_{uuid.uuid4().hex}"
+        writer.option("path", path).saveAsTable(name)
+        df.sparkSession.sql(f"DROP TABLE {name}")
+        return gathered.get
     writer = observed.write.mode(mode).options(maxRecordsPerFile=MAX_RECORDS_PER_FILE, **(options or {}))
     writer.parquet(path, partitionBy=list(partition_by) or None)
     return gathered.get
