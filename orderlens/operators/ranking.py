@@ -14,11 +14,37 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from orderlens.session import keep, small_table
+from orderlens.session import keep, keep_counted, small_table
 
 SLICE_ROWS = 2_000_000
 
 
+def sliced(entries: DataFrame, keys: list[Column], entry_count: int, slice_rows: int = SLICE_ROWS) -> DataFrame:
+    """``entries`` with the number of their slice, ranges of ``keys`` of bounded size.
+
+    Stored, because range bounds are sampled and must not be drawn twice; when the sample
+    was so poor that a slice has more than twice its rows, all are cut finer.
+    """
+    slices = max(1, math.ceil(entry_count / slice_rows))
+    while True:
+        placed = keep(entries.repartitionByRange(slices, *keys).withColumn("slice", F.spark_partition_id()), "placed")
+        # One slice holds no more than all entries, so there is nothing to count.
+        if slices == 1 or slices >= entry_count:
+            return placed
+        fullest = placed.groupBy("slice").count().agg(F.max("count")).first()[0] or 0
+        if fullest <= 2 * slice_rows:
+            return placed
+        slices = min(2 * slices, entry_count)
+
+
+def _inside(position: str = "position") -> Column:
+    """Whether a span that ends at ``upto`` and covers ``n`` positions holds ``position``."""
+    return (F.col(position) <= F.col("upto")) & (F.col(position) > F.col("upto") - F.col("n"))
+
+
+FROM_START = (Window.unboundedPreceding, Window.currentRow)
+
+
 def at_positions(
     entries: DataFrame,
     group: str,
@@ -30,33 +56,20 @@ def at_positions(
     """The entry at each wanted 1-based position of its group.
 
     An entry covers ``weight`` consecutive positions and ``(group, *order)`` is
-    unique. ``wanted`` has (group, position). The slices are stored before they
-    are counted, because range bounds are sampled and must not be drawn twice; when the
-    sample was so poor that a slice has more than twice its rows, all are cut finer.
+    unique. ``wanted`` has (group, position). The slices are counted, and only those that hold a
+    wanted position are numbered.
     """
-    slices = max(1, math.ceil(entry_count / slice_rows))
-    while True:
-        placed = keep(
-            entries.repartitionByRange(slices, F.col(group), *order).withColumn("slice", F.spark_partition_id()),
-            "placed",
-        )
-        fullest = placed.groupBy("slice").count().agg(F.max("count")).first()[0] or 0
-        if fullest <= 2 * slice_rows or slices >= entry_count:
-            break
-        slices = min(2 * slices, entry_count)
-    from_start = (Window.unboundedPreceding, Window.currentRow)
-    by_slice = Window.partitionBy(group).orderBy("slice").rowsBetween(*from_start)
+    placed = sliced(entries, [F.col(group), *order], entry_count, slice_rows)
+    by_slice = Window.partitionBy(group).orderBy("slice").rowsBetween(*FROM_START)
     spans = (
         placed.groupBy(group, "slice")
         .agg(F.sum("weight").alias("n"))
         .withColumn("upto", F.sum("n").over(by_slice))
     )
-    target = (
-        spans.join(wanted, group)
-        .filter((F.col("position") <= F.col("upto")) & (F.col("position") > F.col("upto") - F.col("n")))
-        .select(group, "slice", "position", (F.col("position") - F.col("upto") + F.col("n")).alias("offset"))
+    target = spans.join(wanted, group).filter(_inside()).select(
+        group, "slice", "position", (F.col("position") - F.col("upto") + F.col("n")).alias("offset")
     )
-    within = Window.partitionBy(group, "slice").orderBy(*order).rowsBetween(*from_start)
+    within = Window.partitionBy(group, "slice").orderBy(*order).rowsBetween(*FROM_START)
     numbered = placed.join(target.select(group, "slice").distinct(), [group, "slice"], "left_semi").withColumn(
         "last", F.sum("weight").over(within)
     )
@@ -127,19 +140,22 @@ def lower_medians(df: DataFrame, group: str, value: str, slice_rows: int = SLICE
     very many is not sorted on one task either. Null values
     are counted in row_count but do not take part in the median.
     """
-    histogram = keep(df.groupBy(group, value).agg(F.count(F.lit(1)).alias("weight")), "histogram")
+    histogram, entries = keep_counted(df.groupBy(group, value).agg(F.count(F.lit(1)).alias("weight")), "histogram")
     order = [F.col(value).asc_nulls_last()]
+    placed = sliced(histogram, [F.col(group), *order], entries, slice_rows)
+    whole, by_slice = Window.partitionBy(group), Window.partitionBy(group).orderBy("slice").rowsBetween(*FROM_START)
     known = F.sum(F.when(F.col(value).isNotNull(), F.col("weight")).otherwise(0))
-
-    def middle(known_rows: Column) -> Column:
-        # A group of nulls only has its null entry as the first position.
-        return F.greatest(F.floor((known_rows + 1) / 2), F.lit(1)).cast("long")
-
-    groups = keep(
-        histogram.groupBy(group).agg(F.sum("weight").alias("row_count"), middle(known).alias("position")), "groups"
+    # A group of nulls only has its null entry as the first position.
+    middle = F.greatest(F.floor((F.sum("known").over(whole) + 1) / 2), F.lit(1)).cast("long")
+    spans = placed.groupBy(group, "slice").agg(F.sum("weight").alias("n"), known.alias("known")).select(
+        group, "slice", "n", F.sum("n").over(by_slice).alias("upto"), F.sum("n").over(whole).alias("row_count"), middle.alias("position")
     )
-    found = at_positions(histogram, group, order, groups.select(group, "position"), histogram.count(), slice_rows)
-    return found.join(groups.select(group, "row_count"), group).select(group, F.col(value).alias("median"), "row_count")
+    # One slice per group is left, so the rows to be numbered are not multiplied.
+    target = spans.filter(_inside()).select(group, "slice", "row_count", (F.col("position") - F.col("upto") + F.col("n")).alias("offset"))
+    within = Window.partitionBy(group, "slice").orderBy(*order).rowsBetween(*FROM_START)
+    numbered = placed.join(target, [group, "slice"]).withColumn("last", F.sum("weight").over(within))
+    found = numbered.filter((F.col("offset") <= F.col("last")) & (F.col("offset") > F.col("last") - F.col("weight")))
+    return found.select(group, F.col(value).alias("median"), "row_count")
 
 
 def exact_percentiles(df: DataFrame, value: str, fractions: list[float], slice_rows: int = SLICE_ROWS) -> DataFrame:

@@ -8,7 +8,8 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
@@ -76,6 +77,13 @@ def keep(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def keep_counted(df: DataFrame, label: str) -> tuple[DataFrame, int]:
+    """``keep`` and the number of rows, counted while they are written."""
+    seen = Observation()
+    table = keep(df.observe(seen, F.count(F.lit(1)).alias("rows")), label)
+    return table, seen.get.get("rows", 0)
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a folder in whatever file system it lives."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
