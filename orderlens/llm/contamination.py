@@ -9,8 +9,8 @@ has ``MIN_TOKENS`` tokens (or as many as the item) of which ``MIN_EQUAL`` are eq
 whole item with that share, its first and last tokens substituted or not. Items shorter
 than a window are matched whole and exactly.
 
-Benchmark hashes travel in blocks of bounded size, one pass over the documents
-each, so nothing grows without bound; documents are never shuffled.
+Benchmark hashes travel in blocks of bounded size, built once and broadcast, one pass over
+the documents each; documents are never shuffled.
 
 Tokens are runs of letters and digits, lower-cased. Defined cases: null texts are
 empty; items without tokens match nothing, items of one word every document with that
@@ -26,10 +26,11 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderlens.llm.common import WordHashes, map_rows, odd_constants, rows_in, windows
+from orderlens.llm.common import MEMO_WORDS, WordHashes, map_rows, mix, odd_constants, rows_in, windows
 
 TOKEN = re.compile(r"[^\W_]+")
 WINDOW = 12
@@ -42,22 +43,33 @@ MIN_EQUAL = 4, 5  # so many of so many tokens
 ITEMS_PER_BLOCK_TOKENS = 400_000
 
 
-def token_hashes(text: str, hashes: WordHashes) -> np.ndarray:
-    return hashes.of([w.encode() for w in TOKEN.findall(text.lower())])
+class TokenHashes(WordHashes):
+    """The same for words as text, which are encoded only when they are new."""
+
+    def __missing__(self, word: str) -> int:
+        if len(self) >= MEMO_WORDS:
+            self.clear()
+        value = self[word] = xxhash.xxh3_64_intdigest(word.encode())
+        return value
+
+
+def token_hashes(text: str, hashes: TokenHashes) -> np.ndarray:
+    return hashes.of(TOKEN.findall(text.lower()))
 
 
 def seed_hashes(tokens: np.ndarray) -> list[np.ndarray]:
-    """Per mask, the hash at every window start."""
+    """Per mask, the hash at every window start: the sum of the two kept blocks' hashes, each worked out once."""
+    reach = len(tokens) - WINDOW + 1
+    if reach <= 0:
+        return [np.zeros(0, np.uint64)] * len(MASKS)
     factors = odd_constants(WINDOW, seed=5)
-    result = []
-    for number, mask in enumerate(MASKS):
-        reach = len(tokens) - WINDOW + 1
-        if reach <= 0:
-            result.append(np.zeros(0, np.uint64))
-            continue
-        found = windows(tokens[: reach + max(mask)], mask, factors[: len(mask)] + np.uint64(2 * number))
-        result.append(found)
-    return result
+    sums = []
+    for first in range(0, WINDOW, 3):
+        total = tokens[first : first + reach] * factors[first]
+        for at in (first + 1, first + 2):
+            total += tokens[at : at + reach] * factors[at]
+        sums.append(total)
+    return [mix(sums[mask[0] // 3] + sums[mask[-1] // 3]) for mask in MASKS]
 
 
 def whole_hashes(tokens: np.ndarray, length: int) -> np.ndarray:
@@ -69,7 +81,7 @@ class SeedIndex:
     """Masked windows of a block of benchmark items, and whole items shorter than a window."""
 
     def __init__(self, items: list[tuple[object, str]]):
-        hashes = WordHashes()
+        hashes = TokenHashes()
         self.ids = [i for i, _ in items]
         self.tokens = [token_hashes(t or "", hashes) for _, t in items]
         found = [[] for _ in MASKS]
@@ -188,10 +200,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, limit: int = ITEMS_PER_B
     ddl = f"doc_id {kind}, item_id {item_kind}, {OVERLAP_DDL}"
 
     def search(block):
-        items = spark.sparkContext.broadcast(block)
+        built = spark.sparkContext.broadcast(SeedIndex(block))
 
         def run(batches: Iterator[pa.RecordBatch]):
-            index, hashes = SeedIndex(items.value), WordHashes()
+            index, hashes = built.value, TokenHashes()
             for doc, text in rows_in(batches):
                 for item, *found in index.overlaps(token_hashes(text or "", hashes)):
                     yield doc, item, *found
@@ -206,10 +218,10 @@ def clean(docs: DataFrame, benchmark: DataFrame, limit: int = ITEMS_PER_BLOCK_TO
     """``docs`` without the rows that overlap a benchmark item; columns stay as they are."""
     spark, text_at = docs.sparkSession, docs.columns.index("text")
     for block in blocks(benchmark, limit):
-        items = spark.sparkContext.broadcast(block)
+        built = spark.sparkContext.broadcast(SeedIndex(block))
 
-        def run(batches: Iterator[pa.RecordBatch], items=items) -> Iterator[pa.RecordBatch]:
-            index, hashes = SeedIndex(items.value), WordHashes()
+        def run(batches: Iterator[pa.RecordBatch], built=built) -> Iterator[pa.RecordBatch]:
+            index, hashes = built.value, TokenHashes()
             for batch in batches:
                 kept = [
                     next(index.overlaps(token_hashes(text or "", hashes)), None) is None
