@@ -7,30 +7,29 @@ are encoded by the library's thread pool.
 
 Where no piece crosses the start of a word (and, for unigram, where scores are
 whole numbers, so that the best path of a text is that of its words), each
-distinct word is encoded once and remembered. Every newly encoded word is
-compared with SentencePiece itself; on a difference (a text that spells out a
-reserved piece such as ``<s>``, for example) SentencePiece's ids are used and
-counted. Other models encode and compare whole texts.
+distinct word is encoded once and remembered, within a bound of bytes. Ids and decoded
+texts are those of the rebuilt tokenizer. Every newly encoded word is compared with
+SentencePiece itself; on a difference (a text that spells out a reserved piece such as
+``<s>``, for example) SentencePiece's ids are used and counted. Other models encode and
+compare whole texts. A Python worker builds the tokenizer once for all its tasks.
 """
 
 from __future__ import annotations
 
 import os
 import re
-from array import array
 from collections.abc import Iterator
-from itertools import chain
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import sentencepiece
 from pyspark.sql import DataFrame
 from tokenizers import Regex, Tokenizer, decoders, models, pre_tokenizers
 
-from orderlens.llm.common import MEMO_WORDS
 from orderlens.llm.sentencepiece_model import (
     BPE,
-    BYTE,
     CONTROL,
     SPACE,
     UNKNOWN,
@@ -42,7 +41,11 @@ from orderlens.llm.sentencepiece_model import (
 )
 
 WORD = f"{SPACE}*[^{SPACE}]+|{SPACE}+"
-SLICE_CHARS = 1_000_000
+SLICE_BYTES = 1_000_000
+DECODED_ROWS = 256
+RUN_WORDS = 500
+# What the memory of words may hold, twice, by an estimate of what an entry costs beside its text and ids.
+MEMO_BYTES, ENTRY_BYTES = 40_000_000, 220
 
 
 def merges_of(model: PieceModel) -> list[tuple[str, str]]:
@@ -84,7 +87,7 @@ def _word_by_word(model: PieceModel) -> bool:
 
 
 class Codec:
-    """Encodes and decodes texts and counts the ids that SentencePiece had to supply."""
+    """Encodes and decodes texts by the rebuilt tokenizer, and counts the ids that SentencePiece had to supply."""
 
     def __init__(self, data: bytes, threads: int = 2):
         os.environ["TOKENIZERS_PARALLELISM"] = "true"
@@ -95,71 +98,126 @@ class Codec:
         self.threads = threads
         self.by_word = _word_by_word(self.model)
         self.clean = normaliser(self.model)
-        self.words: dict[str, tuple[int, ...]] = {}
+        self.reserved = {i for i, p in enumerate(self.model.pieces) if p.kind in (CONTROL, UNKNOWN)}
+        self.starts = np.array([p.text.startswith(SPACE) for p in self.model.pieces])
+        # By word without its leading mark: the ids as 32-bit bytes. Words not met since the last turn are forgotten.
+        self.words: dict[str, bytes] = {}
+        self.earlier: dict[str, bytes] = {}
         self.differing: set[str] = set()
-        self.bytes = [self._bytes(i) for i in range(len(self.model.pieces))]
-
-    def _bytes(self, number: int) -> bytes:
-        piece = self.model.pieces[number]
-        if piece.kind == BYTE:
-            return bytes([int(piece.text[3:5], 16)])
-        if piece.kind == CONTROL:
-            return b""
-        if piece.kind == UNKNOWN:
-            return " ⁇ ".encode()
-        return piece.text.replace(SPACE, " ").encode()
-
-    def _checked(self, texts: list[str]) -> list[tuple[tuple[int, ...], bool]]:
-        """(ids, equal to SentencePiece's) of whole texts, encoded in parallel."""
+        self.broken: set[str] = set()
+        self.held = 0
+
+    def _turn(self) -> None:
+        self.earlier, self.words, self.held = self.words, {}, 0
+        self.differing &= self.earlier.keys()
+        self.broken &= self.earlier.keys()
+
+    def _checked(self, texts: list[str]) -> list[tuple[list[int], bool]]:
+        """(ids, equal to SentencePiece's) of whole texts, encoded in parallel; on a difference SentencePiece's."""
         ours = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         theirs = self.original.encode(texts, num_threads=self.threads)
-        return [(tuple(b), a.ids == b) for a, b in zip(ours, theirs)]
+        return [(ids, True) if (ids := a.ids) == b else (b, False) for a, b in zip(ours, theirs)]
 
-    def encode(self, texts: list[str]) -> list[tuple[list[int], int]]:
-        """(ids, words or texts where SentencePiece's ids replaced others) per text."""
-        if not self.by_word:
-            return [(list(ids), 0 if same else 1) for ids, same in self._checked(texts)]
-        split = re.compile(WORD).findall
-        parts = [split(self.clean(t)) for t in texts]
-        if len(self.words) > MEMO_WORDS:
-            self.words, self.differing = {}, set()
-        new = list({w for words in parts for w in words if w not in self.words})
-        # The normaliser puts a word's own leading mark back.
-        for word, (ids, same) in zip(new, self._checked([w[1:].replace(SPACE, " ") for w in new])):
-            if word == SPACE:  # the text " " of a lone mark is empty without it
-                ids = tuple(self.original.piece_to_id([SPACE]))
-            self.words[word] = ids
-            if not same:
+    def _remember(self, word: str, ids: bytes) -> None:
+        self.words[word] = ids
+        self.held += 2 * len(word) + len(ids) + ENTRY_BYTES
+
+    def _learn(self, words: list[str]) -> None:
+        """Encode new words and remember them: run by run, and word by word where a run shows a difference."""
+        plain = [w for w in words if w and " " not in w and SPACE not in w]
+        runs = [plain[i : i + RUN_WORDS] for i in range(0, len(plain), RUN_WORDS)]
+        texts = [" ".join(run) for run in runs]
+        single = [w for w in words if not w or " " in w or SPACE in w]
+        found = self._checked(texts)
+        for run, text, (ids, same), back in zip(runs, texts, found, self._decoded([ids for ids, _ in found])):
+            flat = np.array(ids, np.int32)
+            # Every word of a run starts with the only pieces that start with a mark.
+            cuts = np.flatnonzero(self.starts[flat])
+            if not same or back != text or len(cuts) != len(run) or cuts[0]:
+                single += run
+                continue
+            data, ends = flat.tobytes(), (4 * cuts).tolist()
+            for word, low, high in zip(run, ends, [*ends[1:], len(data)]):
+                self._remember(word, data[low:high])
+        if single:
+            self._learn_singly(single)
+
+    def _learn_singly(self, words: list[str]) -> None:
+        found = self._checked(words)
+        lone = [self.original.piece_to_id(SPACE)]  # the text "" of a lone mark would be empty
+        ids = [lone if not word else own for word, (own, _) in zip(words, found)]
+        for word, own, (_, same), text in zip(words, ids, found, self._decoded(ids)):
+            self._remember(word, np.array(own, np.int32).tobytes())
+            if not same and word:
                 self.differing.add(word)
-        result = []
-        for words in parts:
+            if text != word:
+                self.broken.add(word)
+
+    def _decoded(self, batch: list[list[int]]) -> list[str]:
+        """Texts by the rebuilt decoder; it knows no reserved pieces, so SentencePiece decodes lists that hold some."""
+        texts = self.tokenizer.decode_batch(batch, skip_special_tokens=False)
+        return [self.original.decode(i) if not self.reserved.isdisjoint(i) else t for i, t in zip(batch, texts)]
+
+    def _words(self, text: str) -> list[str]:
+        words = text.split(" ")
+        if "" not in words:
+            return words
+        # Runs of spaces: each belongs to the word that follows it.
+        return [w[1:].replace(SPACE, " ") for w in re.findall(WORD, self.clean(text))]
+
+    def encode_flat(self, texts: list[str]) -> Iterator[tuple[np.ndarray, int, bool]]:
+        """(ids, words or texts where SentencePiece's ids replaced others, decodes to the text) per text."""
+        if not self.by_word:
+            found = self._checked(texts)
+            for text, (ids, same), back in zip(texts, found, self._decoded([ids for ids, _ in found])):
+                yield np.array(ids, np.int32), 0 if same else 1, back == text
+            return
+        if self.held > MEMO_BYTES:
+            self._turn()
+        parts = [self._words(t) if t else [] for t in texts]
+        unknown = {w for words in parts for w in words if w not in self.words}
+        for word in unknown & self.earlier.keys():
+            self._remember(word, self.earlier[word])
+        if new := [w for w in unknown if w not in self.words]:
+            self._learn(new)
+        for text, words in zip(texts, parts):
+            ids = np.frombuffer(b"".join(map(self.words.__getitem__, words)), np.int32)
             replaced = sum(w in self.differing for w in words) if self.differing else 0
-            result.append((list(chain.from_iterable(map(self.words.__getitem__, words))), replaced))
-        return result
+            whole = SPACE not in text and not (self.broken and any(w in self.broken for w in words))
+            yield ids, replaced, whole
+
+    def encode(self, texts: list[str]) -> list[tuple[list[int], int]]:
+        """(ids, replaced) per text."""
+        return [(ids.tolist(), replaced) for ids, replaced, _ in self.encode_flat(texts)]
 
     def decode(self, ids) -> str:
-        text = b"".join(map(self.bytes.__getitem__, ids)).decode(errors="replace")
-        return text[1:] if self.model.dummy_prefix and text.startswith(" ") else text
-
-
-def _slices(texts: list[str]) -> Iterator[tuple[int, int]]:
-    """Runs of rows of about SLICE_CHARS characters, so that a batch of long texts is not expanded at once."""
-    start = chars = 0
-    for i, text in enumerate(texts):
-        chars += len(text)
-        if chars >= SLICE_CHARS:
-            yield start, i + 1
-            start, chars = i + 1, 0
+        return self._decoded([list(ids)])[0]
+
+
+@lru_cache(maxsize=1)
+def shared_codec(data: bytes, threads: int) -> Codec:
+    """One codec for all tasks of a Python worker; its memory of words is bounded."""
+    return Codec(data, threads)
+
+
+def _slices(texts: pa.Array) -> Iterator[tuple[int, int]]:
+    """Runs of rows of about SLICE_BYTES bytes, so that a batch of long texts is not expanded at once."""
+    start = size = 0
+    for i, length in enumerate(pc.fill_null(pc.binary_length(texts), 0).to_pylist()):
+        size += length
+        if size >= SLICE_BYTES:
+            yield start, i + 1 - start
+            start, size = i + 1, 0
     if start < len(texts):
-        yield start, len(texts)
+        yield start, len(texts) - start
 
 
 def encode(docs: DataFrame, model_path: str, threads: int = 2) -> DataFrame:
     """(doc_id, n_pieces, ids, n_replaced, round_trip) of every row of ``docs`` (doc_id, text).
 
-    ``ids`` are those of SentencePiece, ``n_replaced`` counts the words where the
-    rebuilt tokenizer had others, ``round_trip`` says whether decoding the ids
-    gives the text back (a text that holds the space mark itself does not).
+    ``ids`` are those of the rebuilt tokenizer, ``n_replaced`` counts the words where
+    SentencePiece had others, which then stand in their place; ``round_trip`` says whether
+    decoding the ids gives the text back (a text that holds the space mark itself does not).
     Null and empty texts have no ids; repeated rows repeat; an empty table gives
     none. Other columns are not read.
     """
@@ -167,25 +225,21 @@ def encode(docs: DataFrame, model_path: str, threads: int = 2) -> DataFrame:
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = Codec(spec.value, threads)
+        codec = shared_codec(spec.value, threads)
         for batch in batches:
-            texts = [t or "" for t in batch.column(1).to_pylist()]
-            for low, high in _slices(texts):
-                part = texts[low:high]
-                flat, ends, replaced, same = array("i"), [0], [], []
-                for text, (ids, differing) in zip(part, codec.encode(part)):
-                    flat.extend(ids)
-                    ends.append(len(flat))
-                    replaced.append(differing)
-                    same.append(codec.decode(ids) == text)
-                values = pa.array(np.frombuffer(flat, np.int32) if flat else np.zeros(0, np.int32))
+            for start, count in _slices(batch.column(1)):
+                part = batch.slice(start, count)
+                texts = [t or "" for t in part.column(1).to_pylist()]
+                found = list(codec.encode_flat(texts))
+                ends = np.cumsum([0, *(len(ids) for ids, _, _ in found)])
+                values = pa.array(np.concatenate([ids for ids, _, _ in found]))
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch.column(0).slice(low, high - low),
+                        part.column(0),
                         pa.array(np.diff(ends), pa.int64()),
                         pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values),
-                        pa.array(replaced, pa.int64()),
-                        pa.array(same),
+                        pa.array([replaced for _, replaced, _ in found], pa.int64()),
+                        pa.array([same for *_, same in found]),
                     ],
                     names=["doc_id", "n_pieces", "ids", "n_replaced", "round_trip"],
                 )
@@ -200,9 +254,13 @@ def decode(encoded: DataFrame, model_path: str) -> DataFrame:
     kind = encoded.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = Codec(spec.value)
+        codec = shared_codec(spec.value, 2)
         for batch in batches:
-            texts = [None if ids is None else codec.decode(ids) for ids in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], names=["doc_id", "text"])
+            for start in range(0, batch.num_rows, DECODED_ROWS):
+                part = batch.slice(start, DECODED_ROWS)
+                lists = part.column(1).to_pylist()
+                texts = iter(codec._decoded([ids for ids in lists if ids is not None]))
+                texts = [None if ids is None else next(texts) for ids in lists]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(texts, pa.string())], names=["doc_id", "text"])
 
     return encoded.select("doc_id", "ids").mapInArrow(run, f"doc_id {kind}, text string")
