@@ -95,6 +95,7 @@ def rfm_scores(customers: DataFrame, **options) -> DataFrame:
 def rfm_segments(customers: DataFrame, **options) -> DataFrame:
     """Scores and segment label; the first rule that fits names the segment."""
     r, f, m = (F.col(f"{name}_score") for name in ("recency", "frequency", "monetary"))
+    # Segment labels and the score bounds that go with them.
     segment = (
         F.when(F.least(r, f, m) >= 4, "VIP")
         .when((r >= 4) & (F.col("frequency") == 1), "New")

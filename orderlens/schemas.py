@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+# Column names of the source tables and of the marts.
 ORDER_ITEMS = (
     "order_id", "lineitem_id", "user_id", "restaurant_id", "item_name",
     "item_price", "item_quantity", "is_loyalty", "creation_time_utc",
