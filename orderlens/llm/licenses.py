@@ -252,9 +252,12 @@ def licences(docs: DataFrame) -> DataFrame:
     model = LicenceModel(docs)
     rows = paragraphs(docs).withColumn("words", words_of(F.array_join("lines", "\n"))).filter(F.size("words") > 0)
     triples = _triples(docs.sparkSession)
-    predicted = keep(model.predict(rows).withColumn("n_lines", F.size("lines")), "licence-predicted")
-    single = F.transform("lines", lambda line: _noticed(words_of(line), triples))
-    predicted = keep(predicted.withColumn("single", F.when(F.col("n_lines") > 1, single)), "licence-lines")
+    predicted = model.predict(rows).withColumn("n_lines", F.size("lines"))
+    # Words are stored before grams are taken of them: inside a transform they would be worked out again per gram.
+    line_words = F.transform("lines", words_of)
+    predicted = keep(predicted.withColumn("line_words", F.when(F.col("n_lines") > 1, line_words)), "licence-predicted")
+    single = F.transform("line_words", lambda words: _noticed(words, triples))
+    predicted = keep(predicted.withColumn("single", single).drop("line_words"), "licence-lines")
     rest = F.filter("lines", lambda line, i: ~_holds(F.get("single", i), triples))
     predicted = predicted.withColumn("rest", F.when(F.col("n_lines") > 1, rest).otherwise(F.col("lines")))
     predicted = keep(predicted.withColumn("words", words_of(F.array_join("rest", "\n"))), "licence-rest")

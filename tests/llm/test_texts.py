@@ -433,3 +433,14 @@ def test_shingles_follow_the_stated_words():
     same = [("A b\tC\x0bd\x0ce", "a B c D E"), ("x\u00a0y", "X\u00a0Y")]
     assert all((near_copies.shingles(a, hashes) == near_copies.shingles(b, hashes)).all() for a, b in same)
     assert len(near_copies.shingles("a b c d e f a b c d e f", hashes)) == 6
+
+
+def test_licences_of_very_long_lines_and_repeated_rows(spark, sf_dir, documents):
+    """A wrapped text of a very long line next to a notice, and the same row three times."""
+    notice = "This work is licensed under the GNU General Public License, version 3."
+    long = "permission to walk the dog around the house is granted " * 2_000
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    own = [(-40, f"{long}\n{notice}"), *[(-41, notice)] * 3]
+    found = [r for r in licenses.licences(docs.unionByName(documents(own))).collect() if r.doc_id in (-40, -41) and r.confirmed]
+    assert sorted(r.doc_id for r in found) == [-41, -41, -41, -40]
+    assert {r.family for r in found} == {"gpl-3.0"}
