@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from orderlens.session import keep
+from orderlens.session import fresh_dir, keep, scratch
 
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 MEMO_WORDS = 400_000
@@ -22,6 +22,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def keep_alone(spark: SparkSession, label: str, make: Callable[[], DataFrame]) -> DataFrame:
+    """The table that ``make`` describes, written; tables kept on the way to it are deleted."""
+    path = fresh_dir(spark, label)
+    with scratch(spark):
+        made = make()
+        schema = made.schema
+        made.write.parquet(path)
+    return spark.read.schema(schema).parquet(path)
+
+
 def map_rows(
     df: DataFrame, make: Callable[[Iterator[pa.RecordBatch]], Iterable[tuple]], ddl: str, batch_rows: int = 2_000
 ) -> DataFrame:

@@ -50,13 +50,17 @@ def merge(roots: DataFrame, links: DataFrame) -> DataFrame:
 
 
 def merged(
-    buckets: DataFrame, confirm: Callable[[DataFrame], DataFrame], rest: Callable[[DataFrame], DataFrame]
+    buckets: DataFrame,
+    confirm: Callable[[DataFrame], DataFrame],
+    rest: Callable[[DataFrame], DataFrame],
+    sure: bool = False,
 ) -> DataFrame:
     """(rep, root) of all items in ``buckets``, a stored table.
 
     ``confirm`` keeps the linked ones of pairs (a, b). Rounds of leading pairs merge the large groups
     and go on while at least one in ``WORTHWHILE`` of their pairs is a link; then ``rest`` names all
-    pairs, of the rows of buckets that are still open, which have to be confirmed.
+    pairs, of the rows of buckets that are still open, which have to be confirmed. With ``sure`` it
+    confirms them itself and names links.
     """
     members = buckets.select("rep").distinct()
     roots = keep(members.select("rep", F.col("rep").alias("root")), "roots")
@@ -73,6 +77,9 @@ def merged(
             roots = merge(roots, links)
         if found * WORTHWHILE <= pairs.count():
             break
+    if sure:
+        links = keep(rest(open_rows(buckets, roots)), "links")
+        return roots if links.isEmpty() else merge(roots, links)
     ordered = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     left = keep(rest(open_rows(buckets, roots)).join(ordered, ["a", "b"], "left_anti"), "remaining-pairs")
     links = keep(confirm(left), "links")

@@ -66,6 +66,40 @@ def test_wide_buckets_are_split_without_loss(documents, monkeypatch):
     assert found(documents(rows)) == brute_force(rows)
 
 
+def test_a_large_group_around_the_threshold_in_blocks(documents, monkeypatch):
+    rng = random.Random(8)
+    base = [f"b{i}" for i in range(80)]
+    rows = []
+    for _ in range(150):
+        text = list(base)
+        for _ in range(rng.randint(1, 4)):
+            text[rng.randrange(len(text))] = f"x{rng.randrange(10**6)}"
+        rows.append(" ".join(text))
+    rows = list(enumerate(rows))
+    monkeypatch.setattr(near_copies, "BLOCK_ROWS", 20)
+    expected = brute_force(rows)
+    assert 1 < len({component for _, component in expected.values()}) < len(rows)
+    assert found(documents(rows)) == expected
+
+
+def test_overlaps_and_joining_links():
+    import numpy as np
+    import pyarrow as pa
+
+    rng = np.random.default_rng(4)
+    sets = [np.unique(rng.integers(0, 300, rng.integers(1, 200)).astype(np.uint64)) for _ in range(40)]
+    plain = [[len(np.intersect1d(a, b)) for b in sets] for a in sets]
+    assert near_copies.overlaps(sets, sets, width=64).tolist() == plain
+    assert near_copies.overlaps(sets[:7], sets[7:], width=64).tolist() == [row[7:] for row in plain[:7]]
+    # Sixty equal sets in two blocks and one of its own: 59 links join them, whatever their number of pairs.
+    same, own = np.arange(20, dtype=np.uint64).tobytes(), np.arange(50, 70, dtype=np.uint64).tobytes()
+    for low, high in ((0, 0), (0, 1)):
+        rows = [(5, low, high, low if i < 30 else high, i, i, same) for i in range(60)] + [(5, low, high, high, 99, 99, own)]
+        batch = pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], names=list("abcdefg"))
+        links = list(near_copies._linked(iter([batch])))
+        assert len(links) == 59 and {end for link in links for end in link} == set(range(60))
+
+
 def test_keys_guarantee_the_distance():
     import numpy as np
 
