@@ -132,8 +132,9 @@ def described(docs: DataFrame) -> DataFrame:
 
 
 def documents_of(rows: DataFrame) -> DataFrame:
-    """One row per id; of rows that share an id and differ, the one with the smallest digest."""
-    return rows.groupBy("doc_id").agg(F.min(F.struct("digest", "n_shingles", "signature")).alias("d")).select("doc_id", "d.*")
+    """One row per id, with its number of rows; of rows that share an id and differ, the one with the smallest digest."""
+    least = F.min(F.struct("digest", "n_shingles", "signature")).alias("d")
+    return rows.groupBy("doc_id").agg(least, F.count(F.lit(1)).alias("copies")).select("doc_id", "copies", "d.*")
 
 
 def _keys(classes: DataFrame) -> DataFrame:
@@ -155,7 +156,7 @@ def _keys(classes: DataFrame) -> DataFrame:
 def _sets(docs: DataFrame, reps: DataFrame) -> DataFrame:
     """(rep, shingles) of the classes that share a bucket; shingles are sorted 64-bit hashes in a row."""
     kind = docs.schema["doc_id"].dataType.simpleString()
-    wanted = docs.select(F.col("doc_id").alias("rep"), "text").join(reps, "rep")
+    texts = docs.select(F.col("doc_id").alias("rep"), "text")
 
     def run(batches: Iterator[pa.RecordBatch]):
         hashes = WordHashes()
@@ -164,8 +165,12 @@ def _sets(docs: DataFrame, reps: DataFrame) -> DataFrame:
             if xxhash.xxh3_128_digest(found.tobytes()) == digest:
                 yield rep, found.tobytes()
 
-    found = map_rows(wanted.select("rep", "text", "digest"), run, f"rep {kind}, shingles binary", batch_rows=200)
-    return found.dropDuplicates(["rep"])
+    def of(some: DataFrame) -> DataFrame:
+        wanted = texts.join(some, "rep").select("rep", "text", "digest")
+        return map_rows(wanted, run, f"rep {kind}, shingles binary", batch_rows=200)
+
+    # Only ids of several rows can come twice; the sets of the others need not be shuffled to find that out.
+    return of(reps.filter("copies = 1")).unionByName(of(reps.filter("copies > 1")).dropDuplicates(["rep"]))
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -365,8 +370,9 @@ def _moved(docs: DataFrame, classes: DataFrame) -> DataFrame:
     """(digest, _root) of the classes of several documents or of a component with others."""
     buckets = keep(shared_buckets(_keys(classes)), "buckets")
     members = buckets.select("rep").distinct()
-    members = keep(members.join(classes.select("rep", "digest", F.col("size").alias("n"), "signature"), "rep"), "members")
-    sets = keep(_sets(docs, members.select("rep", "digest")), "sets")
+    columns = classes.select("rep", "digest", "copies", F.col("size").alias("n"), "signature")
+    members = keep(members.join(columns, "rep"), "members")
+    sets = keep(_sets(docs, members.select("rep", "digest", "copies")), "sets")
     signed = members.select("rep", "n", "signature")
     roots = merged(
         buckets, lambda pairs: confirmed(pairs, sets), lambda left: near_links(left.join(signed, "rep"), sets), sure=True
@@ -380,10 +386,10 @@ def components(docs: DataFrame) -> DataFrame:
     rows = keep(documents_of(described(docs)), "described")
     filled = rows.filter("digest is not null")
     classes = filled.groupBy("digest").agg(
-        F.min("doc_id").alias("rep"), F.first("signature").alias("signature"), F.count(F.lit(1)).alias("n"),
+        F.min(F.struct("doc_id", "copies")).alias("_rep"), F.first("signature").alias("signature"), F.count(F.lit(1)).alias("n"),
         F.first("n_shingles").alias("size"),
     )
-    classes = keep(classes, "classes")
+    classes = keep(classes.select("digest", F.col("_rep.doc_id").alias("rep"), "_rep.copies", "signature", "n", "size"), "classes")
     moved = keep_alone(docs.sparkSession, "moved", lambda: _moved(docs, classes))
     joined = spread_join(rows, moved, ["digest"], "doc_id", "left")
     component = F.coalesce("_root", "doc_id")
