@@ -123,16 +123,18 @@ def materialise(parts: DataFrame) -> DataFrame:
 
 
 def read_back(parts: DataFrame) -> DataFrame:
-    """Digests per conversation, from the formatted segments and their trainable spans alone.
+    """Digests per conversation, from the formatted segments and the trainable spans of the ``examples``.
+
+    An example's span is looked up in the segment that ends it, which holds the whole span.
 
     A digest of a whole conversation is sequential, so a conversation passes
     through one task, but as a stream: no more than a batch of turns is held.
     """
     kind = parts.schema["conv_id"].dataType.simpleString()
-    spans = parts.select(
+    targets = examples(parts).select("position", "loss_start", "loss_end")  # positions are unique in the table
+    spans = parts.join(targets, "position", "left").select(
         "conv_id", "position", "segment",
-        F.when(F.col("trained"), F.instr("segment", "\n")).alias("loss_start"),
-        F.when(F.col("trained"), F.length("segment") - len(CLOSE) - 1).alias("loss_end"),
+        (F.col("loss_start") - F.col("start")).alias("loss_start"), (F.col("loss_end") - F.col("start")).alias("loss_end"),
     )
     sorted_parts = spans.repartition("conv_id").sortWithinPartitions("conv_id", "position")
 
