@@ -133,6 +133,96 @@ def test_malformed_archives_are_named():
         list(warc.members(good[:-5]))
 
 
+BODY = b"<p>\xff\r\n\r\n</p>"
+HTTP = b"HTTP/1.0 200 OK\nServer:Apache\nX-Odd: caf\xe9\nbroken line\nserver: second\n\n" + BODY
+FOREIGN = [
+    ("http://a.example/x y", "10.0.0.1", "20010203040506", "text/html", HTTP),
+    ("dns:a.example", "10.0.0.2", "20010203040507", "text/dns", b"20010203040507\na.example. 60 IN A 10.0.0.1\n\n"),
+    ("http://b.example/", "10.0.0.1", "200102030405", "text/html", b"no head at all"),
+    ("http://a.example/again", "10.0.0.1", "20010203040508", "text/html", b"HTTP/1.1 200 OK\r\nX-Page-Id: none\r\n\r\n" + BODY),
+    ("http://c.example/", "10.0.0.1", "20010203040509", "text/html", b""),
+]
+
+
+def foreign_arc(version, name):
+    """The records of an archive that was written elsewhere, with the blank lines such files have between them."""
+    about = b"%d 0 elsewhere\n" % version + warc.ARC_HEADINGS[version]
+    more = b"" if version == 1 else b" 200 - - 0 " + name
+    yield b"filedesc://" + name + b" 0.0.0.0 20010203040500 text/plain" + more + b" %d\n" % len(about) + about
+    for url, ip, date, mime, block in FOREIGN:
+        line = f"{url} {ip} {date} {mime}".encode() + more + b" %d\n" % len(block)
+        yield b"\n" + line + block + b"\n"
+
+
+@pytest.mark.parametrize("version", [1, 2])
+def test_archives_from_elsewhere(version):
+    records = list(foreign_arc(version, b"f.arc"))
+    plain = b"".join(records)
+    shapes = [
+        plain, warc.member(plain), b"".join(map(warc.member, records)), b"\r\n".join(map(warc.member, records)) + b"\n\n",
+        warc.member(plain[:77]) + warc.member(plain[77:]), warc.member(b"") + warc.member(plain),
+    ]
+    for blob in shapes:
+        found = list(warc.parse_arc(blob))
+        assert [(f["url"], f["ip"], f["date"], f["mime"], b) for f, b in found[1:]] == FOREIGN
+        assert [f["number"] for f, _ in found] == list(range(6))
+    for bad in (plain[:-10], plain + b"rest", warc.member(plain) + b"rest", warc.member(plain)[:-4], plain.replace(b"2001020304", b"2001-02-03")):
+        with pytest.raises(ValueError):
+            list(warc.parse_arc(bad))
+
+
+def test_http_heads():
+    head, fields, payload = warc.http_parts(HTTP)
+    assert fields == {"server": "Apache", "x-odd": "café"} and payload == BODY and head + payload == HTTP
+    assert warc.http_parts(b"HTTP/1.1 204 No Content\r\nA: b") == (b"HTTP/1.1 204 No Content\r\nA: b", {"a": "b"}, b"")
+
+
+def test_conversion_of_archives_from_elsewhere(spark):
+    arc_path, warc_path = fresh_dir(spark, "arc"), fresh_dir(spark, "warc")
+    blobs = [(b"".join(foreign_arc(1, b"one.arc")),), (warc.member(b"".join(foreign_arc(2, b"two.arc.gz"))),)]
+    # The text writer ends a file with a line break, which plain and packed files may have.
+    warc.write_files(spark.createDataFrame(blobs, "content binary"), arc_path)
+    warc.write_warcs(warc.to_warc(spark, arc_path), warc_path)
+    rows = warc.read_warcs(spark, warc_path, with_payload=True).collect()
+    uris = ["http://a.example/x%20y", "dns:a.example", "http://b.example/", "http://a.example/again", "http://c.example/"]
+    assert sorted(r.target_uri for r in rows) == sorted(uris * 2)
+    kinds = {u: sorted(r.record_type for r in rows if r.target_uri == u) for u in uris}
+    assert kinds["dns:a.example"] == kinds["http://b.example/"] == kinds["http://c.example/"] == ["resource"] * 2
+    web = kinds["http://a.example/x%20y"] + kinds["http://a.example/again"]
+    assert sorted(web) == ["response", "revisit", "revisit", "revisit"]
+    for r in rows:
+        payload = {"x%20y": BODY, "again": BODY}.get(r.target_uri.split("/")[-1])
+        if payload is None:
+            payload = FOREIGN[uris.index(r.target_uri)][4]
+        assert (r.page_id, r.payload_bytes, r.payload_digest) == (None, len(payload), warc.sha1(payload))
+        assert r.payload == (None if r.record_type == "revisit" else payload)
+
+
+def test_warcs_from_elsewhere():
+    def record(kind, block, *more, end=b"\r\n"):
+        lines = [b"WARC/1.0", b"warc-type:" + kind, b"WARC-Record-ID: <urn:x:" + kind + b">", *more, b"content-length: %d" % len(block)]
+        return end.join(lines) + end * 2 + block + b"\r\n\r\n"
+
+    parts = [
+        record(b"warcinfo", b"software: other"), record(b"request", b"GET / HTTP/1.1\r\n\r\n"),
+        record(b"response", HTTP, b"WARC-Payload-Digest: md5:0", b"WARC-Target-URI: <http://a/", b"  b>"),
+        record(b"resource", b"\r\n\r\n", end=b"\n"), record(b"revisit", b"HTTP/1.1 304 Not Modified\r\n\r\n"), record(b"metadata", b""),
+    ]
+    for blob in (b"".join(parts), warc.member(b"".join(parts)), b"\n".join(map(warc.member, parts))):
+        rows = [row for row in (warc.warc_row(*r) for r in warc.parse_warc(blob)) if row]
+        assert [(r[1], r[3], r[-1]) for r in rows] == [(len(BODY), "response", BODY), (4, "resource", b"\r\n\r\n"), (None, "revisit", None)]
+        assert rows[0][2] == warc.sha1(BODY) and rows[0][6] == "http://a/ b"
+    digest = f"sha1:{warc.sha1(b'other')}".encode()
+    for bad in (
+        b"".join(parts)[:-30], b"rest" + parts[0], parts[0].replace(b"content-length", b"length"),
+        record(b"resource", b"x", b"WARC-Block-Digest: " + digest), record(b"revisit", b"") + b"rest",
+    ):
+        with pytest.raises(ValueError):
+            list(warc.parse_warc(bad))
+    with pytest.raises(ValueError):
+        [warc.warc_row(*r) for r in warc.parse_warc(record(b"resource", b"x", b"WARC-Payload-Digest: " + digest))]
+
+
 def test_no_pages(spark):
     arc_path, warc_path = warc.archive(pages(spark).limit(0))
     assert warc.read_warcs(spark, warc_path).count() == 0
