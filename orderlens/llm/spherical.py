@@ -8,8 +8,9 @@ because sums of bounded scores vary far more between vectors than a normal tail)
 list is decoded from the sorted sums of two halves: the k-th best sum of one half
 can only go with the LIST / k best of the other, so the many other directions are
 never visited. The number of directions follows the number of vectors, so a filter
-holds a few vectors at any size; several independent codes are used. A pair of cosine 0.95
-shares a filter with probability above 0.999 (``tests/llm/test_spherical.py`` measures it).
+holds a few vectors at any size, unless the vectors have so few dimensions that many lie near each other; several
+independent codes are used. A pair of cosine 0.95 shares a filter with probability ``RECALL`` or more, which a trial on
+random pairs of as many dimensions confirms before the codes are used; from 16 dimensions on, up to a million vectors, it is above 0.999.
 
 Vectors that share a filter are merged into components with the pairs' cosines
 verified in double precision. All links lie inside a component, so links are counted
@@ -42,14 +43,43 @@ COSINE = 0.95
 CODES, BLOCKS, LIST = 2, 4, 64
 PER_FILTER = 1.5  # vectors that a filter meets, on average
 MIN_WORDS, MAX_WORDS = 6, 400
+RECALL = 0.997  # of pairs at the threshold, by trial; more similar pairs are found more often
 WIDE = 2_000
 
 
+def block_count(dims: int) -> int:
+    """Blocks of at least two components, as far as there are so many."""
+    return max(1, min(BLOCKS, dims // 2))
+
+
+@lru_cache(maxsize=64)
 def words_per_block(vectors: int, dims: int) -> int:
-    """Code words per block, so that a filter meets PER_FILTER vectors."""
-    blocks = min(BLOCKS, dims)
-    words = math.ceil((max(vectors, 1) * LIST / PER_FILTER) ** (1 / blocks))
-    return max(MIN_WORDS, min(MAX_WORDS, words, 8 * dims))
+    """Code words per block, so that a filter meets PER_FILTER vectors, or more where pairs would be lost.
+
+    In few dimensions the best directions of many lie closer together than linked vectors do, so the number of words
+    is lowered until pairs at the threshold share a filter.
+    """
+    words = math.ceil((max(vectors, 1) * LIST / PER_FILTER) ** (1 / block_count(dims)))
+    words = max(MIN_WORDS, min(MAX_WORDS, words))
+    while words > MIN_WORDS and sharing(dims, words) < RECALL:
+        words = max(MIN_WORDS, words * 3 // 4)
+    return words
+
+
+def sharing(dims: int, words: int, pairs: int = 1_000) -> float:
+    """The share of random pairs at the threshold that meet in a filter of any of the codes, by trial."""
+    if dims < 2:
+        return 1.0
+    rng = np.random.default_rng([dims, words])
+    x, z = rng.standard_normal((2, pairs, dims))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    z -= (z * x).sum(1, keepdims=True) * x
+    y = COSINE * x + math.sqrt(1 - COSINE**2) * z / np.linalg.norm(z, axis=1, keepdims=True)
+    met = np.zeros(pairs, bool)
+    for number in range(CODES):
+        code = ProductCode(dims, words, number)
+        met |= [not set(a).isdisjoint(b) for a, b in zip(map(np.ndarray.tolist, code.decode(x)), map(np.ndarray.tolist, code.decode(y)))]
+    return float(met.mean())
 
 
 class ProductCode:
@@ -58,7 +88,7 @@ class ProductCode:
     def __init__(self, dims: int, words: int, seed: int):
         rng = np.random.default_rng([dims, words, seed])
         self.rotation = np.linalg.qr(rng.standard_normal((dims, dims)))[0]
-        self.cuts = np.array_split(np.arange(dims), min(BLOCKS, dims))
+        self.cuts = np.array_split(np.arange(dims), block_count(dims))
         self.words = []
         for cut in self.cuts:
             code = rng.standard_normal((words, len(cut)))

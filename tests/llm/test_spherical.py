@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 
 from orderlens.llm import spherical
 
@@ -39,6 +40,15 @@ def test_equals_brute_force(spark):
     assert found(table) == brute_force(rows)
 
 
+def test_few_dimensions_hold_many_vectors(spark):
+    rng = np.random.default_rng(12)
+    rows = [(i, np.float32(rng.standard_normal(dims)).tolist()) for i, dims in enumerate([3] * 150 + [8] * 700 + [2] * 40)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    expected = brute_force(rows)
+    assert sum(links > 0 for links, _ in expected.values()) > 150
+    assert found(table) == expected
+
+
 def test_blocks_of_a_wide_component(spark, monkeypatch):
     monkeypatch.setattr(spherical.blocked, "__defaults__", (7,))
     rng = np.random.default_rng(6)
@@ -48,9 +58,11 @@ def test_blocks_of_a_wide_component(spark, monkeypatch):
     }
 
 
-def test_recall_at_the_threshold():
+@pytest.mark.parametrize("vectors", [10_000, 1_000_000])
+@pytest.mark.parametrize("dims", [2, 3, 4, 5, 6, 8, 12, 16, 32, 64, 384])
+def test_recall_at_the_threshold(dims, vectors):
     rng = np.random.default_rng(8)
-    count, dims, vectors = 600, 64, 1_000_000
+    count = 600
     x = rng.standard_normal((count, dims))
     x /= np.linalg.norm(x, axis=1, keepdims=True)
     z = rng.standard_normal((count, dims))
@@ -61,7 +73,7 @@ def test_recall_at_the_threshold():
     for seed in range(spherical.CODES):
         code = spherical.product_code(dims, spherical.words_per_block(vectors, dims), seed)
         met |= [bool(np.intersect1d(a, b).size) for a, b in zip(code.decode(x), code.decode(y))]
-    assert met.mean() > 0.995
+    assert met.mean() >= 0.99
 
 
 def test_decoding_lists_the_best_directions():
