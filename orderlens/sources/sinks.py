@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import uuid
 from typing import NamedTuple
 
@@ -11,6 +12,8 @@ from pyspark.sql import functions as F
 # Files stay splittable and of readable size; the number of tasks that write
 # them is left to Spark.
 MAX_RECORDS_PER_FILE = 20_000_000
+# A bucket is written, sorted and joined by one task.
+BUCKET_ROWS = 1_000_000
 
 
 class Buckets(NamedTuple):
@@ -20,6 +23,11 @@ class Buckets(NamedTuple):
     keys: tuple[str, ...]
 
 
+def buckets_for(rows: int, least: int = 8) -> int:
+    """So many buckets that none holds more than about BUCKET_ROWS of ``rows``, however many there are."""
+    return max(least, math.ceil(rows / BUCKET_ROWS))
+
+
 def write_observed(
     df: DataFrame,
     path: str,

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from conftest import plan_of
 from orderlens.catalog import fixtures as fx
+from orderlens.catalog.queries import QUERIES
 from orderlens.functions.calendar import validity_periods, with_calendar_as_of
 from orderlens.operators import lines, prices, sketches
 from orderlens.operators.ranking import lower_medians
@@ -85,6 +86,15 @@ def test_bucketed_tables_join_without_a_shuffle(spark, sf_dir):
     assert items.count() == fx.order_items(spark, sf_dir).count()
 
 
+def test_larger_tables_get_more_buckets(spark, sf_dir, monkeypatch):
+    monkeypatch.setattr(sinks, "BUCKET_ROWS", 500)
+    counts, write = [], sinks.write_observed
+    monkeypatch.setattr(sinks, "write_observed", lambda *a, **k: (counts.append(k["buckets"].count), write(*a, **k))[1])
+    rows = fx.table(spark, sf_dir, "lineitem").count()
+    assert QUERIES["line_revenue_bucketed"](spark, sf_dir).count() > 0
+    assert len(counts) == 2 and set(counts) == {-(-rows // 500)} and counts[0] > 8
+
+
 def test_the_pipeline_over_buckets(spark, sf_dir):
     root = fresh_dir(spark, "stages")
     tables = fx.raw_order_items(spark, sf_dir), fx.raw_order_item_options(spark, sf_dir), fx.raw_date_dim(spark, sf_dir)
