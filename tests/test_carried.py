@@ -265,3 +265,41 @@ def test_a_failed_mart_alone_is_rebuilt(spark, sf_dir, monkeypatch):
     with pytest.raises(ValueError, match="run_key"):
         run_marts(spark, base, f"{root}/marts", builders, status_path=f"{root}/status")
     assert run_plan.finished_marts(spark, f"{root}/none", "monday") == {}
+
+
+def test_a_second_attempt_starts_from_the_stored_slices(spark, sf_dir, monkeypatch):
+    root, base, down, folded = fresh_dir(spark, "resumed"), fx.sales_base(spark, sf_dir), [1], []
+    monkeypatch.setattr("orderlens.plans.base.order_slices", lambda df: (folded.append(1), lines.order_slices(df))[1])
+
+    def late(b):
+        if down:
+            raise ValueError("not today")
+        return BUILDERS["sales_trends"](b)
+
+    builders = {"sales_trends": late, "discount_effectiveness": BUILDERS["discount_effectiveness"]}
+    noted = {"status_path": f"{root}/status", "run_key": "monday", "raise_on_failure": False}
+    run_marts(spark, base, f"{root}/marts", builders, **noted)
+    stored = run_plan._shared_paths(spark, f"{root}/status-shared", "monday")
+    down.clear()
+    status = {r.mart: r.status for r in run_marts(spark, base, f"{root}/marts", builders, **noted).collect()}
+    assert status == {"sales_trends": "success", "discount_effectiveness": "kept"} and len(folded) == 1
+    expected = marts.sales_trends(base.slices, base.date_dim)
+    found = spark.read.parquet(f"{root}/marts/sales_trends")
+    assert found.exceptAll(expected).isEmpty() and found.count() == expected.count()
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(stored[0].slices)
+    # The tables are gone: one more mart under the same key builds them again.
+    more = {**builders, "clv_daily": BUILDERS["clv_daily"]}
+    folded.clear()
+    assert [r.status for r in run_marts(spark, base, f"{root}/marts", more, **noted).collect()] == ["kept", "kept", "success"]
+    assert len(folded) == 1
+
+
+def test_notes_made_at_a_time_are_all_kept(spark):
+    path, names = f"{fresh_dir(spark, 'notes')}/status", [f"mart{i}" for i in range(24)]
+    threads = [threading.Thread(target=run_plan._note, args=(spark, path, "monday", (n, "success", 1))) for n in names]
+    for thread in threads:
+        thread.start()
+    for thread in threads:
+        thread.join(120)
+    assert sorted(run_plan.finished_marts(spark, path, "monday")) == sorted(names)
