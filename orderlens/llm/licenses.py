@@ -126,6 +126,16 @@ def grams(words: Column, size: int) -> Column:
     return F.transform(starts, lambda i: F.array_join(F.slice(words, i, size), " "))
 
 
+def _once(rows: DataFrame, name: str, value: Column) -> DataFrame:
+    """``rows`` with a costly ``value`` that is worked out once a row.
+
+    A filter on a plain column is moved below it, and its expression goes along, to be worked out again for every mention
+    of it; what comes out of an explode stays a column.
+    """
+    others = [c for c in rows.columns if c != name]
+    return rows.select(*others, F.explode(F.array(value)).alias(name))
+
+
 def with_features(rows: DataFrame) -> DataFrame:
     """``rows`` (words, ...) with hashed words and word pairs."""
     words, pairs = F.col("words"), F.size("words") - 1
@@ -193,8 +203,7 @@ def training_rows(docs: DataFrame) -> DataFrame:
 
 def _odds(model, rows: DataFrame) -> DataFrame:
     """``rows`` with class probabilities and the log odds of "not unknown"."""
-    p = vector_to_array("probability")
-    scored = model.transform(rows).withColumn("p", p)
+    scored = _once(model.transform(rows), "p", vector_to_array("probability"))
     clipped = F.greatest(F.least(F.col("p")[0], F.lit(1 - 1e-12)), F.lit(1e-12))
     return scored.withColumn("odds", F.log((1 - clipped) / clipped))
 
@@ -250,18 +259,17 @@ def licences(docs: DataFrame) -> DataFrame:
     ``overlap`` is the share of word triples of the family's best fitting ``notice`` that the paragraph holds.
     """
     model = LicenceModel(docs)
-    rows = paragraphs(docs).withColumn("words", words_of(F.array_join("lines", "\n"))).filter(F.size("words") > 0)
+    rows = _once(paragraphs(docs), "words", words_of(F.array_join("lines", "\n"))).filter(F.size("words") > 0)
     triples = _triples(docs.sparkSession)
     predicted = model.predict(rows).withColumn("n_lines", F.size("lines"))
-    # Words are stored before grams are taken of them: inside a transform they would be worked out again per gram.
+    # Words are columns before grams are taken of them: inside a transform they would be worked out again per gram.
     line_words = F.transform("lines", words_of)
-    predicted = keep(predicted.withColumn("line_words", F.when(F.col("n_lines") > 1, line_words)), "licence-predicted")
-    single = F.transform("line_words", lambda words: _noticed(words, triples))
-    predicted = keep(predicted.withColumn("single", single).drop("line_words"), "licence-lines")
+    predicted = _once(predicted, "line_words", F.when(F.col("n_lines") > 1, line_words))
+    predicted = _once(predicted, "single", F.transform("line_words", lambda words: _noticed(words, triples)))
     rest = F.filter("lines", lambda line, i: ~_holds(F.get("single", i), triples))
-    predicted = predicted.withColumn("rest", F.when(F.col("n_lines") > 1, rest).otherwise(F.col("lines")))
-    predicted = keep(predicted.withColumn("words", words_of(F.array_join("rest", "\n"))), "licence-rest")
-    predicted = keep(predicted.withColumn("grams", _noticed(F.col("words"), triples)), "licence-found")
+    predicted = _once(predicted, "rest", F.when(F.col("n_lines") > 1, rest).otherwise(F.col("lines")))
+    predicted = _once(predicted, "words", words_of(F.array_join("rest", "\n")))
+    predicted = _once(predicted, "grams", _noticed(F.col("words"), triples))
     by_family = [
         F.when(F.col("family") == family, F.array(*[_overlap(F.col("grams"), name, wanted) for name, wanted in texts]))
         for family, texts in triples.items()
@@ -269,7 +277,7 @@ def licences(docs: DataFrame) -> DataFrame:
     # Structs compare by their first field, so the largest is the best fitting notice.
     best = F.array_max(reduce(lambda a, b: F.coalesce(a, b), by_family))
     confirmed = F.col("best.overlap") >= CONFIRMED
-    named = predicted.withColumn("best", best).filter(confirmed | (F.size("rest") == F.col("n_lines")))
+    named = _once(predicted, "best", best).filter(confirmed | (F.size("rest") == F.col("n_lines")))
     return named.select(
         "doc_id", "paragraph", "n_lines", "family", "probability", F.col("best.notice").alias("notice"),
         F.col("best.overlap").alias("overlap"), confirmed.alias("confirmed"),

@@ -7,6 +7,7 @@ import struct
 
 import pytest
 import sentencepiece
+from pyspark.sql import functions as F
 from tokenizers import models
 
 from orderlens.llm import contamination, licenses, near_copies, pieces, quality, secret_scan, token_counts
@@ -444,3 +445,19 @@ def test_licences_of_very_long_lines_and_repeated_rows(spark, sf_dir, documents)
     found = [r for r in licenses.licences(docs.unionByName(documents(own))).collect() if r.doc_id in (-40, -41) and r.confirmed]
     assert sorted(r.doc_id for r in found) == [-41, -41, -41, -40]
     assert {r.family for r in found} == {"gpl-3.0"}
+
+
+def test_words_are_worked_out_once_however_often_they_are_filtered_on(spark):
+    lines = spark.createDataFrame([("Released under the MIT License.",), ("...",), (None,)], "line string")
+    rows = licenses._once(lines, "words", licenses.words_of(F.col("line"))).filter((F.size("words") > 0) & (F.size("words") < 9))
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract_all") == 1
+    assert [r.words for r in rows.collect()] == [["released", "under", "the", "mit", "license"]]
+
+
+def test_scanning_for_licences_stores_no_paragraphs(spark, documents, monkeypatch):
+    stored, keep = [], licenses.keep
+    monkeypatch.setattr(licenses, "keep", lambda df, label: stored.append(label) or keep(df, label))
+    own = [(1, "Some words\nReleased under the MIT License.\nand more"), (2, "nothing of the kind")]
+    assert {r.family for r in licenses.licences(documents(own)).collect() if r.confirmed} == {"mit"}
+    assert set(stored) == {"licence-sample", "licence-words", "licence-grams", "licence-training", "prose"}
