@@ -102,6 +102,33 @@ def windows(values: np.ndarray, offsets: list[int], factors: np.ndarray) -> np.n
     return mix(total)
 
 
+def _marked(rows: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
+    """``rows`` with ``_likely``: true where ``key`` is in ``wanted``, a table of that column, and for one in nine of the others.
+
+    Eight bits per row of ``wanted`` are broadcast, in words of 64 that the hash of a key points into.
+    """
+    words = wanted.count() // 8 + 1
+    place = F.pmod(F.xxhash64(key), F.lit(64 * words))
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), (place % 64).cast("int"))
+    bits = wanted.groupBy(F.shiftright(place, 6).alias("_word")).agg(F.bit_or(bit).alias("_bits"))
+    placed = rows.withColumn("_place", place).withColumn("_word", F.shiftright("_place", 6))
+    found = placed.join(F.broadcast(bits), "_word", "left")
+    likely = F.coalesce(F.bit_get("_bits", (F.col("_place") % 64).cast("int")) == 1, F.lit(False))
+    return found.select(*rows.columns, likely.alias("_likely"))
+
+
+def likely_among(rows: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
+    """``rows`` without most of those whose ``key`` is not in ``wanted``, so that the exact join after it moves few rows."""
+    return _marked(rows, key, wanted).filter("_likely").drop("_likely")
+
+
+def without(rows: DataFrame, key: str, gone: DataFrame) -> DataFrame:
+    """``rows`` whose ``key`` is not in ``gone``, a stored table of that column; few of the rows that stay are moved."""
+    marked = _marked(rows, key, gone)
+    unsure = marked.filter("_likely").join(gone, key, "left_anti")
+    return marked.filter("not _likely").unionByName(unsure).select(*rows.columns)
+
+
 def spread_join(
     left: DataFrame, right: DataFrame, on: list[str], spread_by: str, how: str = "inner", hot_rows: int = 5_000, salts: int = 32
 ) -> DataFrame:

@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orderlens.llm.common import (
-    WordHashes, keep_alone, map_rows, mix, odd_constants, rows_in, spread_join, windows,
+    WordHashes, keep_alone, likely_among, map_rows, mix, odd_constants, rows_in, spread_join, windows, without,
 )
 from orderlens.llm.merging import merged, shared_buckets
 from orderlens.session import keep
@@ -156,7 +156,8 @@ def _keys(classes: DataFrame) -> DataFrame:
 def _sets(docs: DataFrame, reps: DataFrame) -> DataFrame:
     """(rep, shingles) of the classes that share a bucket; shingles are sorted 64-bit hashes in a row."""
     kind = docs.schema["doc_id"].dataType.simpleString()
-    texts = docs.select(F.col("doc_id").alias("rep"), "text")
+    # Most texts share no bucket, so they are not shuffled to find that out.
+    texts = likely_among(docs.select(F.col("doc_id").alias("rep"), "text"), "rep", reps.select("rep"))
 
     def run(batches: Iterator[pa.RecordBatch]):
         hashes = WordHashes()
@@ -178,9 +179,9 @@ def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     kind = sets.schema["rep"].dataType.simpleString()
 
     def of(end: str) -> DataFrame:
-        """Sets of one end of the pairs alone, so that no others are shuffled."""
-        wanted = pairs.select(F.col(end).alias("rep")).distinct()
-        return sets.join(wanted, "rep", "left_semi").select(F.col("rep").alias(end), F.col("shingles").alias("_" + end))
+        """Sets of one end of the pairs, so that few others are shuffled."""
+        some = likely_among(sets, "rep", pairs.select(F.col(end).alias("rep")))
+        return some.select(F.col("rep").alias(end), F.col("shingles").alias("_" + end))
 
     both = spread_join(pairs, of("b"), ["b"], "a").join(of("a"), "a")
 
@@ -224,7 +225,8 @@ def near_links(left: DataFrame, sets: DataFrame) -> DataFrame:
         partners = partners.unionByName(more)
     partners = keep(partners, "rows-with-partners")
     kind = sets.schema["rep"].dataType.simpleString()
-    filled = partners.join(sets, "rep").select("key", "low", "high", "own", "rep", "root", "shingles")
+    wanted = likely_among(sets, "rep", partners.select("rep").distinct())
+    filled = partners.join(wanted, "rep").select("key", "low", "high", "own", "rep", "root", "shingles")
     filled = filled.repartition("key", "low", "high").sortWithinPartitions("key", "low", "high")
     return map_rows(filled, _linked, f"a {kind}, b {kind}").distinct()
 
@@ -398,5 +400,5 @@ def components(docs: DataFrame) -> DataFrame:
 
 def drop_copies(docs: DataFrame) -> DataFrame:
     """``docs`` with one document of each component; rows without an id stay."""
-    gone = components(docs).filter("not kept").select("doc_id")
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    gone = keep(components(docs).filter("not kept").select("doc_id"), "gone")
+    return without(docs, "doc_id", gone)

@@ -1,6 +1,8 @@
 import random
 
-from orderlens.llm import near_copies
+from conftest import plan_of
+
+from orderlens.llm import common, near_copies
 from orderlens.llm.components import connected
 
 
@@ -135,3 +137,21 @@ def test_components_of_a_long_chain(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(200, 260)] + [(7, 300), (300, 7), (5, 5)], "a long, b long")
     roots = {r.node: r.root for r in connected(edges, "a", "b").collect()}
     assert roots == {i: 200 for i in range(201, 261)} | {300: 7}
+
+
+def test_rows_outside_a_wanted_table_are_not_moved(spark, documents):
+    rows = documents([(i, f"text {i}") for i in range(4_000)] + [(7, "again"), (None, "no id")])
+    wanted = spark.createDataFrame([(i,) for i in range(0, 4_000, 40)] + [(None,), (-1,), (40,)], "doc_id long")
+    likely = {r.doc_id for r in common.likely_among(rows, "doc_id", wanted).collect()}
+    assert likely >= {i for i in range(0, 4_000, 40)} and len(likely) < 1_000
+    left = common.without(rows, "doc_id", wanted.filter("doc_id is not null"))
+    plain = rows.join(wanted.filter("doc_id is not null"), "doc_id", "left_anti").select(rows.columns)
+    assert sorted(left.collect(), key=repr) == sorted(plain.collect(), key=repr)
+    assert common.without(rows, "doc_id", wanted.limit(0)).count() == 4_002
+    assert common.likely_among(rows, "doc_id", wanted.limit(0)).count() == 0
+
+
+def test_texts_without_a_shared_bucket_are_filtered_before_the_join(documents):
+    docs = documents(corpus(3))
+    reps = docs.filter("doc_id < 3").selectExpr("doc_id as rep", "cast('' as binary) as digest", "1L as copies")
+    assert "bit_get" in plan_of(near_copies._sets(docs, reps))
