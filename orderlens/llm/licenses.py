@@ -121,9 +121,11 @@ def words_of(paragraph: Column) -> Column:
 
 
 def grams(words: Column, size: int) -> Column:
-    """Runs of ``size`` words; a shorter paragraph has none."""
-    starts = F.when(F.size(words) >= size, F.sequence(F.lit(1), F.size(words) - size + 1)).otherwise(F.array())
-    return F.transform(starts, lambda i: F.array_join(F.slice(words, i, size), " "))
+    """Runs of ``size`` words; a shorter paragraph has none, and one with a null word is null."""
+    count = F.size(words) - (size - 1)
+    shifted = [F.slice(words, start, count) for start in range(1, size + 1)]
+    joined = reduce(lambda left, right: F.zip_with(left, right, lambda a, b: F.concat(a, F.lit(" "), b)), shifted)
+    return F.when(count > 0, joined).otherwise(F.array().cast("array<string>"))
 
 
 def _once(rows: DataFrame, name: str, value: Column) -> DataFrame:
@@ -136,11 +138,9 @@ def _once(rows: DataFrame, name: str, value: Column) -> DataFrame:
     return rows.select(*others, F.explode(F.array(value)).alias(name))
 
 
-def with_features(rows: DataFrame) -> DataFrame:
-    """``rows`` (words, ...) with hashed words and word pairs."""
-    words, pairs = F.col("words"), F.size("words") - 1
-    following = F.zip_with(F.slice(words, 1, pairs), F.slice(words, 2, pairs), lambda a, b: F.concat(a, F.lit(" "), b))
-    terms = rows.withColumn("terms", F.when(pairs > 0, F.concat(words, following)).otherwise(words))
+def with_features(rows: DataFrame, words: Column, pairs: Column) -> DataFrame:
+    """``rows`` with hashed ``words`` and word ``pairs``."""
+    terms = rows.withColumn("terms", F.concat(words, pairs))
     return HashingTF(numFeatures=FEATURES, binary=True, inputCol="terms", outputCol="features").transform(terms)
 
 
@@ -214,9 +214,10 @@ class LicenceModel:
     def __init__(self, docs: DataFrame):
         rows = keep(training_rows(docs), "licence-training")
         shape = dict(featuresCol="features", labelCol="label", maxIter=40, standardization=False)
-        train = with_features(rows.filter("not held_out"))
+        featured = lambda some: with_features(some, F.col("words"), grams(F.col("words"), 2))
+        train = featured(rows.filter("not held_out"))
         self.model = LogisticRegression(family="multinomial", regParam=5e-4, elasticNetParam=1.0, **shape).fit(train)
-        held = _odds(self.model, with_features(rows.filter("held_out")))
+        held = _odds(self.model, featured(rows.filter("held_out")))
         held = VectorAssembler(inputCols=["odds"], outputCol="odd").transform(
             held.select("odds", (F.col("label") > 0).cast("double").alias("label"))
         )
@@ -225,8 +226,8 @@ class LicenceModel:
         self.slope, self.offset = float(calibration.coefficients[0]), float(calibration.intercept)
 
     def predict(self, rows: DataFrame) -> DataFrame:
-        """``rows`` (words, ...) with family and probability; rows of unknown licence go."""
-        scored = _odds(self.model, with_features(rows))
+        """``rows`` (line_words, pairs, ...) with family and probability; rows of unknown licence go."""
+        scored = _odds(self.model, with_features(rows, F.flatten("line_words"), F.col("pairs")))
         known = 1 / (1 + F.exp(-(F.col("odds") * self.slope + self.offset)))
         classes = F.slice("p", 2, len(FAMILIES))
         best = F.element_at(F.array(*map(F.lit, FAMILIES)), F.array_position(classes, F.array_max(classes)).cast("int"))
@@ -234,8 +235,8 @@ class LicenceModel:
         return scored.select(*rows.columns, "family", "probability")
 
 
-def paragraphs(docs: DataFrame) -> DataFrame:
-    """(doc_id, paragraph, lines): every line, and every run of two or more lines between blank ones, by its first line's number."""
+def _runs(docs: DataFrame) -> DataFrame:
+    """(doc_id, all, runs): the lines of a text, and first line and length of what lies between blank ones."""
     texts = docs.select("doc_id", F.split("text", "\n").alias("all"))
     blank = F.filter(F.transform("all", lambda line, i: F.when(~line.rlike(r"\S"), i)), lambda i: i.isNotNull())
     texts = texts.withColumn("edges", F.concat(F.array(F.lit(-1)), blank, F.array(F.size("all"))))
@@ -244,13 +245,50 @@ def paragraphs(docs: DataFrame) -> DataFrame:
         F.slice("edges", 1, count), F.slice("edges", 2, count),
         lambda a, b: F.struct((a + 1).alias("paragraph"), (b - a - 1).alias("n")),
     )
-    line_runs = F.transform("all", lambda line, i: F.struct(i.alias("paragraph"), F.array(line).alias("lines")))
-    long_runs = F.transform(
-        F.filter(runs, lambda run: run["n"] > 1),
+    return texts.select("doc_id", "all", runs.alias("runs"))
+
+
+def _lines_of(longer_than: int) -> Column:
+    """(paragraph, lines) of the runs of more lines than that."""
+    return F.transform(
+        F.filter("runs", lambda run: run["n"] > longer_than),
         lambda run: F.struct(run["paragraph"].alias("paragraph"), F.slice("all", run["paragraph"] + 1, run["n"]).alias("lines")),
     )
+
+
+def paragraphs(docs: DataFrame) -> DataFrame:
+    """(doc_id, paragraph, lines): every line, and every run of two or more lines between blank ones, by its first line's number."""
+    line_runs = F.transform("all", lambda line, i: F.struct(i.alias("paragraph"), F.array(line).alias("lines")))
     # Texts leave before the rows multiply, or every line would carry its whole document.
-    return texts.select("doc_id", F.concat(line_runs, long_runs).alias("runs")).select("doc_id", F.inline("runs"))
+    rows = _runs(docs).select("doc_id", F.concat(line_runs, _lines_of(1)).alias("runs"))
+    # Outer, or the optimizer would work the runs out a second time to leave out null texts, and below a join with few documents.
+    return rows.select("doc_id", F.inline_outer("runs")).filter("lines is not null")
+
+
+def paragraph_words(docs: DataFrame) -> DataFrame:
+    """(doc_id, paragraph, line_words, pairs) of the ``paragraphs`` that have words: those of each line, and all word pairs.
+
+    A line's words and pairs are worked out once, for itself and for its run.
+    """
+    rows = _runs(docs).select("doc_id", _lines_of(0).alias("runs")).select("doc_id", F.inline_outer("runs"))
+    rows = _once(rows, "lines", F.transform("lines", words_of)).withColumnRenamed("lines", "line_words")
+    rows = _once(rows, "line_pairs", F.transform("line_words", lambda words: grams(words, 2)))
+    lines = F.transform("line_words", lambda words, i: F.struct(
+        (F.col("paragraph") + i).alias("paragraph"), F.array(words).alias("line_words"), F.get("line_pairs", i).alias("pairs")
+    ))
+    ends = F.transform(
+        F.filter("line_words", lambda words: F.size(words) > 0),
+        lambda words: F.struct(F.get(words, F.lit(0)).alias("first"), F.element_at(words, -1).alias("last")),
+    )
+    rows = _once(rows, "ends", ends)
+    across = F.zip_with(
+        F.slice("ends", 1, F.greatest(F.size("ends") - 1, F.lit(0))), F.slice("ends", 2, F.size("ends")),
+        lambda a, b: F.concat(a["last"], F.lit(" "), b["first"]),
+    )
+    run = F.struct("paragraph", "line_words", F.concat(F.flatten("line_pairs"), across).alias("pairs"))
+    every = F.when(F.size("line_words") > 1, F.concat(lines, F.array(run))).otherwise(lines)
+    rows = rows.select("doc_id", every.alias("every")).select("doc_id", F.inline_outer("every"))
+    return rows.filter(F.exists("line_words", lambda words: F.size(words) > 0))
 
 
 def licences(docs: DataFrame) -> DataFrame:
@@ -259,16 +297,16 @@ def licences(docs: DataFrame) -> DataFrame:
     ``overlap`` is the share of word triples of the family's best fitting ``notice`` that the paragraph holds.
     """
     model = LicenceModel(docs)
-    rows = _once(paragraphs(docs), "words", words_of(F.array_join("lines", "\n"))).filter(F.size("words") > 0)
     triples = _triples(docs.sparkSession)
-    predicted = model.predict(rows).withColumn("n_lines", F.size("lines"))
-    # Words are columns before grams are taken of them: inside a transform they would be worked out again per gram.
-    line_words = F.transform("lines", words_of)
-    predicted = _once(predicted, "line_words", F.when(F.col("n_lines") > 1, line_words))
-    predicted = _once(predicted, "single", F.transform("line_words", lambda words: _noticed(words, triples)))
-    rest = F.filter("lines", lambda line, i: ~_holds(F.get("single", i), triples))
-    predicted = _once(predicted, "rest", F.when(F.col("n_lines") > 1, rest).otherwise(F.col("lines")))
-    predicted = _once(predicted, "words", words_of(F.array_join("rest", "\n")))
+    predicted = model.predict(paragraph_words(docs)).withColumn("n_lines", F.size("line_words"))
+    # Words are columns before grams are taken of them: inside a transform they would be worked out again per mention.
+    familiar = F.transform("line_words", lambda words: _familiar(words, triples))
+    predicted = _once(predicted, "line_words", familiar)
+    single = F.transform("line_words", lambda words: _noticed(words, triples))
+    predicted = _once(predicted, "single", F.when(F.col("n_lines") > 1, single))
+    rest = F.filter("line_words", lambda words, i: ~_holds(F.get("single", i), triples))
+    predicted = _once(predicted, "rest", F.when(F.col("n_lines") > 1, rest).otherwise(F.col("line_words")))
+    predicted = _once(predicted, "words", F.flatten("rest"))
     predicted = _once(predicted, "grams", _noticed(F.col("words"), triples))
     by_family = [
         F.when(F.col("family") == family, F.array(*[_overlap(F.col("grams"), name, wanted) for name, wanted in texts]))
@@ -284,10 +322,21 @@ def licences(docs: DataFrame) -> DataFrame:
     )
 
 
+def _wanted(triples: dict[str, list[tuple[str, list[str]]]]) -> list[str]:
+    return sorted({gram for texts in triples.values() for _, wanted in texts for gram in wanted})
+
+
+def _familiar(words: Column, triples: dict[str, list[tuple[str, list[str]]]]) -> Column:
+    """``words`` with null for those that occur in no notice, so that no gram is made of them."""
+    known = sorted({word for gram in _wanted(triples) for word in gram.split(" ")})
+    return F.transform(words, lambda word: F.when(word.isin(known), word))
+
+
 def _noticed(words: Column, triples: dict[str, list[tuple[str, list[str]]]]) -> Column:
-    """The distinct word triples and pairs that occur in any notice."""
-    every = sorted({gram for texts in triples.values() for _, wanted in texts for gram in wanted})
-    return F.array_intersect(F.concat(grams(words, 3), grams(words, 2)), F.array(*map(F.lit, every)))
+    """The distinct word triples, and pairs if a notice has but two words, that occur in any notice."""
+    every = _wanted(triples)
+    sizes = sorted({gram.count(" ") + 1 for gram in every})
+    return F.array_intersect(F.concat(*[grams(words, size) for size in sizes]), F.array(*map(F.lit, every)))
 
 
 def _holds(found: Column, triples: dict[str, list[tuple[str, list[str]]]]) -> Column:

@@ -461,3 +461,39 @@ def test_scanning_for_licences_stores_no_paragraphs(spark, documents, monkeypatc
     own = [(1, "Some words\nReleased under the MIT License.\nand more"), (2, "nothing of the kind")]
     assert {r.family for r in licenses.licences(documents(own)).collect() if r.confirmed} == {"mit"}
     assert set(stored) == {"licence-sample", "licence-words", "licence-grams", "licence-training", "prose"}
+
+
+def test_words_and_pairs_of_a_run_come_from_its_lines(spark, documents):
+    texts = ["a b\n...\nC\nd e 2.0\n\n \n--\n\nlone line\n", "x", "", None, "\n\n", "--\n..", "one\n\ntwo words\nthree"]
+    want = []
+    for doc_id, text in enumerate(texts):
+        lines = (text or "").split("\n")
+        words = [re.findall(r"[a-z0-9]+(?:\.[0-9]+)*", line.lower()) for line in lines]
+        blank = [-1, *[i for i, line in enumerate(lines) if not line.strip()], len(lines)]
+        units = [(i, i + 1) for i in range(len(lines))] + [(a + 1, b) for a, b in zip(blank, blank[1:]) if b - a > 2]
+        for start, end in units:
+            flat = [word for line in words[start:end] for word in line]
+            if flat:
+                want.append((doc_id, start, words[start:end], sorted(f"{a} {b}" for a, b in zip(flat, flat[1:]))))
+    rows = licenses.paragraph_words(documents(texts)).collect()
+    assert sorted((r.doc_id, r.paragraph, r.line_words, sorted(r.pairs)) for r in rows) == sorted(want)
+
+
+def test_noticed_grams_of_familiar_words(spark):
+    triples = licenses._triples(spark)
+    words = "we say all rights reserved now under the mit license all rights reserved by us under the".split()
+    plain = {" ".join(words[i : i + 3]) for i in range(len(words))}
+    wanted = {gram for texts in triples.values() for _, grams in texts for gram in grams}
+    rows = spark.createDataFrame([(words,), (["all", "rights"],), ([],)], "words array<string>")
+    familiar = licenses._once(rows, "words", licenses._familiar(F.col("words"), triples))
+    for some in (rows, familiar):
+        found = [sorted(r[0]) for r in some.select(licenses._noticed(F.col("words"), triples)).collect()]
+        assert found == [sorted(plain & wanted), [], []] and len(found[0]) > 2
+
+
+def test_scanning_for_licences_reads_words_once(spark, documents):
+    docs = documents([(1, "Some words\nReleased under the MIT License.\nand more"), (2, "nothing of the kind")])
+    plan = licenses.licences(docs)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract_all") == 1
+    plan = licenses.paragraphs(docs)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("split(") == 1
