@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from conftest import plan_of
 from orderlens.catalog import fixtures as fx
 from orderlens.operators.accounts import flagged_accounts
-from orderlens.operators.lines import order_slices
+from orderlens.operators.lines import order_slices, with_order_date
+from orderlens.plans import base as base_plan
 from orderlens.plans import marts
 from orderlens.session import keep
 
@@ -158,3 +159,16 @@ def test_location_plan(spark, sf_dir):
     plan = plan_of(marts.location_performance(base.slices, base.flagged))
     assert "Expand" not in plan and "SinglePartition" not in plan
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+def test_times_do_not_travel_with_the_lines(spark, sf_dir, monkeypatch):
+    """Order days are taken before the lines meet their options, and the slices are those of the other order."""
+    met, one = [], base_plan.line_revenue
+    monkeypatch.setattr(base_plan, "line_revenue", lambda items, options: (met.append(items), one(items, options))[1])
+    base = fx.sales_base(spark, sf_dir)
+    found = base.lines
+    assert "order_date" in met[0].columns and found.columns == [
+        "order_id", "lineitem_id", "user_id", "restaurant_id", "is_loyalty", "order_date", "item_price", "total_revenue"
+    ]
+    after = with_order_date(one(base.clean_items, base.options)).select(*found.columns)
+    assert order_slices(found).exceptAll(order_slices(after)).isEmpty() and found.count() == after.count()
